@@ -9,6 +9,9 @@ whole-stage codegen; a decimal(14,2) cast gives the same digits at several times
 Amounts which are no whole number of minor units, NaN, infinities and amounts beyond
 9e15 units go to a third, double-valued sum, so that these columns behave as a plain
 ``sum`` would.
+
+Amounts, counts and factors are SQL text: one parsed expression costs one call into the
+JVM, where the same expression put together from columns costs one per operator.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 LOW_BITS = 16
 LOW_SIZE = 1 << LOW_BITS
-EXACT_UNITS = 9e15
+EXACT_UNITS = "9e15d"
 
 
 @dataclass(frozen=True)
@@ -34,66 +37,83 @@ class ExactSum:
     def columns(self) -> list[str]:
         return [f"{self.name}_high", f"{self.name}_low", f"{self.name}_rest"]
 
-    def of(self, amount: Column) -> list[Column]:
+    def of(self, amount: str) -> list[Column]:
         """Aggregate expressions that build the sum of ``amount``."""
-        amount = amount.cast("double")
-        scaled = amount * float(10**self.digits)
-        nearest = F.rint(scaled)
-        size = F.abs(scaled)
-        whole = (size < EXACT_UNITS) & (F.abs(scaled - nearest) <= size * 1e-12 + 1e-9)
-        units = F.when(whole, nearest.cast("bigint"))
+        scaled = f"(cast({amount} AS double) * {self._scale})"
+        whole = (
+            f"(abs({scaled}) < {EXACT_UNITS}"
+            f" AND abs({scaled} - rint({scaled})) <= abs({scaled}) * 1e-12d + 1e-9d)"
+        )
+        units = f"if({whole}, cast(rint({scaled}) AS bigint), null)"
         high, low, rest = self.columns
         return [
-            F.sum(F.shiftright(units, LOW_BITS)).alias(high),
-            F.sum(units.bitwiseAND(F.lit(LOW_SIZE - 1))).alias(low),
-            F.sum(F.when(~whole, amount)).alias(rest),
+            F.expr(f"sum(shiftright({units}, {LOW_BITS})) AS {high}"),
+            F.expr(f"sum({units} & {LOW_SIZE - 1}) AS {low}"),
+            F.expr(f"sum(if({whole}, null, cast({amount} AS double))) AS {rest}"),
         ]
 
-    def again(self, times: Column | None = None) -> list[Column]:
+    def again(self, times: str | None = None) -> list[Column]:
         """Aggregate expressions that add up sums built before, each counted ``times``."""
-        return [F.sum(part).alias(name) for part, name in zip(self._parts(times), self.columns)]
+        parts = zip(self._parts(times), self.columns)
+        return [F.expr(f"sum({part}) AS {name}") for part, name in parts]
 
-    def total(self, times: Column | None = None) -> Column:
+    def total(self, times: str | None = None) -> Column:
         """The sum as a double; null if no amount was present."""
-        high, low, rest = self._parts(times)
-        exact = F.when(
-            self._small(high, low), (high * LOW_SIZE + low).cast("double") / float(10**self.digits)
-        ).otherwise((_wide(high, low) / F.lit(10**self.digits).cast("decimal(9,0)")).cast("double"))
-        return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+        return F.expr(self._total(times))
 
     def rounded(self) -> Column:
         """The sum rounded to ``digits``."""
-        return F.when(F.col(self.columns[2]).isNull(), self.total()).otherwise(
-            F.round(self.total(), self.digits)
+        # Whole minor units need no rounding, which is slow on doubles.
+        return F.expr(
+            f"CASE WHEN {self.columns[2]} IS NULL THEN {self._exact(None)}"
+            f" ELSE round({self._total(None)}, {self.digits}) END"
         )
 
-    def mean(self, count: Column) -> Column:
+    def mean(self, count: str) -> Column:
         """The mean over ``count`` amounts, rounded half away from zero to ``digits``."""
         high, low, rest = self._parts(None)
-        units = F.when(
-            self._small(high, low) & (count < F.lit(1 << 52)),
-            _rounded_ratio(high * LOW_SIZE + low, count),
-        ).otherwise(_rounded_ratio(_wide(high, low), count.cast("decimal(20,0)")))
-        exact = units.cast("double") / float(10**self.digits)
-        loose = F.round(self.total() / count, self.digits)
-        return F.when(count > 0, F.when(rest.isNull(), exact).otherwise(loose))
-
-    def _parts(self, times: Column | None) -> list[Column]:
-        parts = [F.col(name) for name in self.columns]
-        return parts if times is None else [part * times for part in parts]
-
-    @staticmethod
-    def _small(high: Column, low: Column) -> Column:
-        """True where the unit count lies below 2**53 and so fits both bigint and double."""
-        return (F.abs(high) < F.lit(1 << 36)) & (low < F.lit(1 << 52))
-
-
-def _wide(high: Column, low: Column) -> Column:
-    return high.cast("decimal(20,0)") * F.lit(LOW_SIZE).cast("decimal(6,0)") + low.cast(
-        "decimal(20,0)"
+        units = (
+            f"CASE WHEN {_small(high, low)}"
+            f" THEN {_rounded_ratio(f'({high} * {LOW_SIZE} + {low})', count)}"
+            f" ELSE {_rounded_ratio(_wide(high, low), f'cast({count} AS decimal(20,0))')} END"
+        )
+        return F.expr(
+            f"CASE WHEN {rest} IS NOT NULL THEN round({self._total(None)} / {count}, {self.digits})"
+            f" WHEN {count} > 0 THEN cast({units} AS double) / {self._scale} END"
+        )
+
+    @property
+    def _scale(self) -> str:
+        return f"{10**self.digits}d"
+
+    def _parts(self, times: str | None) -> list[str]:
+        return [name if times is None else f"({name} * ({times}))" for name in self.columns]
+
+    def _exact(self, times: str | None) -> str:
+        high, low, _ = self._parts(times)
+        return (
+            f"CASE WHEN {_small(high, low)}"
+            f" THEN cast({high} * {LOW_SIZE} + {low} AS double) / {self._scale}"
+            f" ELSE cast({_wide(high, low)} / cast({10**self.digits} AS decimal(9,0)) AS double)"
+            " END"
+        )
+
+    def _total(self, times: str | None) -> str:
+        rest = self._parts(times)[2]
+        return f"coalesce({self._exact(times)} + coalesce({rest}, 0d), {rest})"
+
+
+def _small(high: str, low: str) -> str:
+    """True where the unit count lies below 2**53 and so fits both bigint and double."""
+    return f"(abs({high}) < {1 << 36} AND {low} < {1 << 52})"
+
+
+def _wide(high: str, low: str) -> str:
+    return (
+        f"(cast({high} AS decimal(20,0)) * cast({LOW_SIZE} AS decimal(6,0))"
+        f" + cast({low} AS decimal(20,0)))"
     )
 
 
-def _rounded_ratio(units: Column, count: Column) -> Column:
-    ratio = F.call_function("div", F.abs(units) * 2 + count, count * 2)
-    return F.when(units < 0, -ratio).otherwise(ratio)
+def _rounded_ratio(units: str, count: str) -> str:
+    return f"(2 * {units} + if({units} < 0, -{count}, {count})) div (2 * {count})"

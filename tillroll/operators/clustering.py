@@ -108,17 +108,17 @@ def cluster_profile(clustered: DataFrame, cluster: str = "prediction") -> DataFr
         .agg(
             F.count("*").alias("n_orders"),
             F.count("spend_total").alias("n_spend"),
-            *spend.of(F.col("spend_total")),
+            *spend.of("spend_total"),
             F.count("freight_total").alias("n_freight"),
-            *freight.of(F.col("freight_total")),
+            *freight.of("freight_total"),
             F.round(F.avg("item_count"), 2).alias("avg_items"),
             F.round(F.avg("avg_score"), 2).alias("avg_score"),
         )
         .select(
             cluster,
             "n_orders",
-            spend.mean(F.col("n_spend")).alias("avg_spend"),
-            freight.mean(F.col("n_freight")).alias("avg_freight"),
+            spend.mean("n_spend").alias("avg_spend"),
+            freight.mean("n_freight").alias("avg_freight"),
             "avg_items",
             "avg_score",
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import ExactSum
@@ -14,8 +14,8 @@ def count_per_key(frame: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return frame.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def sum_per_key(frame: DataFrame, key: str, amount: Column, name: str) -> DataFrame:
-    """Sum of a currency amount per key, rounded to cents."""
+def sum_per_key(frame: DataFrame, key: str, amount: str, name: str) -> DataFrame:
+    """Sum per key of a currency amount, given as SQL text, rounded to cents."""
     amount_sum = ExactSum("amount")
     return (
         frame.groupBy(key)
@@ -34,14 +34,14 @@ def numeric_summary(frame: DataFrame, column: str) -> DataFrame:
     value_sum = ExactSum("value")
     return frame.agg(
         F.count(value).alias("n_values"),
-        *value_sum.of(value),
+        *value_sum.of(column),
         F.stddev_samp(value).alias("deviation"),
         F.min(value).alias("lowest"),
         F.max(value).alias("highest"),
     ).select(
         "n_values",
         value_sum.rounded().alias("sum_value"),
-        value_sum.mean(F.col("n_values")).alias("avg_value"),
+        value_sum.mean("n_values").alias("avg_value"),
         F.round("deviation", 2).alias("stddev_value"),
         F.round("lowest", 2).alias("min_value"),
         F.round("highest", 2).alias("max_value"),

@@ -1,108 +1,157 @@
-"""Equality joins, and a three-table join that spreads hot keys over many tasks."""
+"""Equality joins that keep working when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-# A key is hot once it holds more than this share of a table, so at most 1,000 keys of a
-# table can be hot and the list of them has a fixed size bound.
+# A key is hot when it holds more rows than one task should take, and more than this share
+# of its table. So at most 1,000 keys of a table are hot, however large the table is.
+HOT_ROWS = 1_000_000
 HOT_SHARE = 0.001
 MOST_HOT_KEYS = 1000
 SKETCH_ITEMS = 10_000
-HOT_ROWS = 1_000_000
 SALT_SEED = 17
 
 
 def inner_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join with ``key`` kept once. Adaptive execution splits a skewed side."""
-    return left.join(right, key, "inner")
-
+    """Inner join with ``key`` kept once.
 
-def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.join(right, key, "left")
+    Either side may have hot keys: adaptive execution splits the partitions they fill.
+    """
+    return left.join(right, key, "inner")
 
 
-def hot_keys(
-    frame: DataFrame, key: str, slots_name: str, hot_rows: int = HOT_ROWS
+def left_join(
+    left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Keys with too many rows for one task, and the number of slots to spread each over.
+    """Left join with ``key`` kept once.
 
-    One pass over the key column builds a mergeable frequent-items sketch; keys are not
-    shuffled. Which keys are listed changes the spread of the rows, never the result.
+    Adaptive execution cannot split the right side of a left join, so hot keys are spread
+    as in :func:`left_join_with_parent`.
     """
-    # The sketch returns the most frequent keys, so its size argument drops no row.
-    sketch = F.call_function("approx_top_k", F.col(key), F.lit(MOST_HOT_KEYS), F.lit(SKETCH_ITEMS))
-    slot_rows = F.greatest(F.lit(float(hot_rows)), F.col("n_rows") * HOT_SHARE)
-    return (
-        frame.where(F.col(key).isNotNull())
-        .agg(sketch.alias("frequent"), F.count("*").alias("n_rows"))
-        .select(F.explode("frequent").alias("entry"), slot_rows.alias("slot_rows"))
-        .where(F.col("entry.count") > F.col("slot_rows"))
-        .select(
-            F.col("entry.item").alias(key),
-            F.ceil(F.col("entry.count") / F.col("slot_rows")).cast("int").alias(slots_name),
-        )
-    )
+    hot = _hot_slots(left, right, key, hot_rows)
+    if hot is None:
+        return left.join(right, key, "left")
+    cell = [key, "fact_slot", "detail_slot"]
+    joined = _fact_cells(left, hot, key).join(_detail_cells(right, hot, key), cell, "left")
+    return _without_empty_cells(joined).select(key, *_others(left, key), *_others(right, key))
 
 
-def spread_join(
+def left_join_with_parent(
     facts: DataFrame,
     parent: DataFrame,
     details: DataFrame,
     key: str,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``facts`` inner join ``parent`` left join ``details``, all on ``key``.
+    """``facts`` inner join ``parent`` left join ``details``, all on ``key``, kept once.
 
-    Rows of a key that is hot in ``facts`` or ``details`` are dealt out over a grid of
-    slots (fact slot x detail slot) and the other tables' rows of that key are repeated
-    along the grid, so each pair meets in exactly one cell. Other keys have one cell. All
-    three tables are shuffled once, on the same columns.
+    Without hot keys this is the plain join, which shuffles each table once. Rows of a key
+    that is hot in ``facts`` or ``details`` are dealt out over a grid of slots (fact slot x
+    detail slot) and the other tables' rows of that key are repeated along the grid, so
+    each pair meets in exactly one cell. Other keys have one cell.
 
     The slot of a row is drawn per row, not from its values, so equal copies spread too.
-    Inputs should come straight from storage, where a rerun task sees the same row order.
+    Tables with hot keys should come straight from storage, where a rerun task sees the
+    same rows in the same order. Looking for hot keys runs one job per large table.
     """
-    slots = (
-        hot_keys(facts, key, "fact_slots", hot_rows)
-        .withColumn("detail_slots", F.lit(1))
-        .unionByName(
-            hot_keys(details, key, "detail_slots", hot_rows).withColumn("fact_slots", F.lit(1))
-        )
-        .groupBy(key)
-        .agg(
-            F.max("fact_slots").alias("fact_slots"), F.max("detail_slots").alias("detail_slots")
-        )
-    )
-    # At most 2 x MOST_HOT_KEYS rows of three numbers or strings.
-    slots = F.broadcast(slots)
-
-    fact_cells = _sized(facts, slots, key).withColumns(
-        {"fact_slot": _drawn("fact_slots"), "detail_slot": _every("detail_slots")}
-    )
+    hot = _hot_slots(facts, details, key, hot_rows)
+    if hot is None:
+        return facts.join(parent, key).join(details, key, "left")
     parent_cells = (
-        _sized(parent, slots, key)
+        _sized(parent, hot, key)
         .withColumn("fact_slot", _every("fact_slots"))
         .withColumn("detail_slot", _every("detail_slots"))
         .drop("fact_slots", "detail_slots")
     )
-    detail_cells = (
-        _sized(details, slots, key)
-        .withColumns({"detail_slot": _drawn("detail_slots"), "fact_slot": _every("fact_slots")})
+    cell = [key, "fact_slot", "detail_slot"]
+    joined = (
+        _fact_cells(facts, hot, key)
+        .join(parent_cells, cell)
+        .join(_detail_cells(details, hot, key), cell, "left")
+    )
+    return _without_empty_cells(joined).select(
+        key, *_others(facts, key), *_others(parent, key), *_others(details, key)
+    )
+
+
+def hot_keys(frame: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict:
+    """The hot keys of a table, and the number of slots to spread each over.
+
+    One pass over the key column builds a mergeable frequent-items sketch, without a
+    shuffle by key. Its counts are estimates: they change how rows are spread, never the
+    result. Null keys match nothing and are not listed.
+    """
+    # Counting a stored table reads no column; in a small one no key can be hot.
+    if frame.count() <= hot_rows:
+        return {}
+    sketch = F.call_function("approx_top_k", F.col(key), F.lit(MOST_HOT_KEYS), F.lit(SKETCH_ITEMS))
+    found = (
+        frame.where(F.col(key).isNotNull())
+        .agg(sketch.alias("frequent"), F.count("*").alias("n_rows"))
+        .select(
+            F.explode("frequent").alias("entry"),
+            F.greatest(F.lit(float(hot_rows)), F.col("n_rows") * HOT_SHARE).alias("slot_rows"),
+        )
+        .where(F.col("entry.count") > F.col("slot_rows"))
+        .select("entry.item", F.ceil(F.col("entry.count") / F.col("slot_rows")).cast("int"))
+    )
+    return {item: slots for item, slots in found.collect()}
+
+
+def _hot_slots(
+    facts: DataFrame, details: DataFrame, key: str, hot_rows: int
+) -> DataFrame | None:
+    """Hot keys with their slots on both sides; at most 2 x MOST_HOT_KEYS rows."""
+    fact_slots, detail_slots = hot_keys(facts, key, hot_rows), hot_keys(details, key, hot_rows)
+    if not fact_slots and not detail_slots:
+        return None
+    rows = [
+        (item, fact_slots.get(item, 1), detail_slots.get(item, 1))
+        for item in {**fact_slots, **detail_slots}
+    ]
+    schema = StructType(
+        [
+            StructField(key, facts.schema[key].dataType),
+            StructField("fact_slots", IntegerType()),
+            StructField("detail_slots", IntegerType()),
+        ]
+    )
+    return F.broadcast(facts.sparkSession.createDataFrame(rows, schema))
+
+
+def _fact_cells(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    # The slot is drawn before the row is repeated, so that all its copies share it.
+    return (
+        _sized(facts, hot, key)
+        .withColumn("fact_slot", _drawn("fact_slots"))
+        .withColumn("detail_slot", _every("detail_slots"))
+    )
+
+
+def _detail_cells(details: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    return (
+        _sized(details, hot, key)
+        .withColumn("detail_slot", _drawn("detail_slots"))
+        .withColumn("fact_slot", _every("fact_slots"))
         .drop("fact_slots", "detail_slots")
         .withColumn("has_detail", F.lit(True))
     )
-    cell = [key, "fact_slot", "detail_slot"]
-    joined = fact_cells.join(parent_cells, cell).join(detail_cells, cell, "left")
-    # A key with several detail slots has details; an empty cell of it is no missing detail.
+
+
+def _without_empty_cells(joined: DataFrame) -> DataFrame:
+    """Drops facts that met no detail only because their cell of the grid is empty.
+
+    A key with several detail slots has details, so its facts meet one in another cell.
+    """
     empty_cell = (F.col("detail_slots") > 1) & F.col("has_detail").isNull()
-    return joined.where(~empty_cell).select(
-        key, *_others(facts, key), *_others(parent, key), *_others(details, key)
-    )
+    return joined.where(~empty_cell)
 
 
-def _sized(frame: DataFrame, slots: DataFrame, key: str) -> DataFrame:
-    return frame.join(slots, key, "left").withColumns(
+def _sized(frame: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    return frame.join(hot, key, "left").withColumns(
         {
             "fact_slots": F.coalesce("fact_slots", F.lit(1)),
             "detail_slots": F.coalesce("detail_slots", F.lit(1)),
@@ -111,9 +160,8 @@ def _sized(frame: DataFrame, slots: DataFrame, key: str) -> DataFrame:
 
 
 def _drawn(slots: str) -> Column:
-    return F.when(
-        F.col(slots) > 1, F.floor(F.rand(SALT_SEED) * F.col(slots)).cast("int")
-    ).otherwise(0)
+    draw = F.floor(F.rand(SALT_SEED) * F.col(slots)).cast("int")
+    return F.when(F.col(slots) > 1, draw).otherwise(0)
 
 
 def _every(slots: str) -> Column:

@@ -171,8 +171,8 @@ def product_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_sales(spark: SparkSession, folder: str) -> DataFrame:
-    amount = F.col("price") + F.col("freight_value")
-    return grouping.sum_per_key(items_view(spark, folder), "order_id", amount, "sale_total")
+    items = items_view(spark, folder)
+    return grouping.sum_per_key(items, "order_id", "price + freight_value", "sale_total")
 
 
 def price_stats(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import month_of, percent_of
 from tillroll.functions.money import ExactSum
-from tillroll.operators.joins import HOT_ROWS, spread_join
+from tillroll.operators.joins import HOT_ROWS, left_join_with_parent
 from tillroll.operators.ranking import top_k
 
 AMOUNT = ExactSum("amount")
@@ -26,12 +26,12 @@ FREIGHT = ExactSum("freight")
 
 def sales_by_status(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders, sales and mean item price per order status, largest sales first."""
-    sales = _sales_per(orders, items, "order_status", F.col("price"))
+    sales = _sales_per(orders, items, "order_status", "price")
     return sales.select(
         "order_status",
         "n_orders",
         AMOUNT.rounded().alias("sales_total"),
-        AMOUNT.mean(F.col("n_amounts")).alias("avg_price"),
+        AMOUNT.mean("n_amounts").alias("avg_price"),
     ).orderBy(F.col("sales_total").desc(), "order_status")
 
 
@@ -40,57 +40,46 @@ def monthly_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
     dated = orders.where(F.col("order_purchase_timestamp").isNotNull()).select(
         "order_id", month_of(F.col("order_purchase_timestamp")).alias("month")
     )
-    sales = _sales_per(dated, items, "month", F.col("price"))
+    sales = _sales_per(dated, items, "month", "price")
     return sales.select("month", "n_orders", AMOUNT.rounded().alias("sales_total")).orderBy("month")
 
 
-def customer_spend(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders, spend and mean spend of each customer.
+def top_customers(orders: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
+    """The customers with the highest spend, price and freight together.
 
-    ``avg_ticket`` is the mean per item, ``avg_ticket_per_order`` the spend per order.
+    ``avg_ticket`` is the mean per item; :func:`avg_ticket_per_order` gives the other one.
     """
-    spend = _sales_per(orders, items, "customer_id", F.col("price") + F.col("freight_value"))
-    return spend.select(
+    return _top_spenders(orders, items, k).select(
         "customer_id",
         "n_orders",
-        AMOUNT.rounded().alias("spend_total"),
-        AMOUNT.mean(F.col("n_amounts")).alias("avg_ticket"),
-        AMOUNT.mean(F.col("n_orders")).alias("avg_ticket_per_order"),
+        "spend_total",
+        AMOUNT.mean("n_amounts").alias("avg_ticket"),
     )
 
 
-def top_customers(orders: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
-    """The customers with the highest spend, price and freight together."""
-    spend = customer_spend(orders, items).drop("avg_ticket_per_order")
-    return top_k(spend, "spend_total", k, ["customer_id"])
-
-
 def avg_ticket_per_order(orders: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
-    """The same customers with their spend per order in place of the mean per item."""
-    spend = customer_spend(orders, items).drop("avg_ticket")
-    return top_k(spend, "spend_total", k, ["customer_id"])
-
-
-def product_sales(items: DataFrame) -> DataFrame:
-    """Items sold, revenue and mean price of each product."""
-    return (
-        items.groupBy("product_id")
-        .agg(
-            F.count("*").alias("n_sold"),
-            F.count("price").alias("n_prices"),
-            *PRICE.of(F.col("price")),
-        )
-        .select(
-            "product_id",
-            "n_sold",
-            PRICE.rounded().alias("revenue"),
-            PRICE.mean(F.col("n_prices")).alias("avg_price"),
-        )
+    """The same customers with their spend per order."""
+    return _top_spenders(orders, items, k).select(
+        "customer_id",
+        "n_orders",
+        "spend_total",
+        AMOUNT.mean("n_orders").alias("avg_ticket_per_order"),
     )
 
 
 def top_products(items: DataFrame, k: int = 10) -> DataFrame:
-    return top_k(product_sales(items), "n_sold", k, ["product_id"])
+    """The products sold most often, with revenue and mean price."""
+    sales = items.groupBy("product_id").agg(
+        F.count("*").alias("n_sold"),
+        F.count("price").alias("n_prices"),
+        *PRICE.of("price"),
+    )
+    return top_k(sales, "n_sold", k, ["product_id"]).select(
+        "product_id",
+        "n_sold",
+        PRICE.rounded().alias("revenue"),
+        PRICE.mean("n_prices").alias("avg_price"),
+    )
 
 
 def score_distribution(reviews: DataFrame) -> DataFrame:
@@ -111,32 +100,31 @@ def order_metrics(orders: DataFrame, items: DataFrame, reviews: DataFrame) -> Da
     With two or more reviews the plain join repeats each item, and so the first three
     values; :func:`order_metrics_no_fanout` gives them once.
     """
-    n_reviews = F.coalesce(F.col("n_reviews"), F.lit(1))
-    return _order_metrics(orders, items, reviews, F.col("copies") * n_reviews)
+    return _order_metrics(orders, items, reviews, "copies * coalesce(n_reviews, 1)")
 
 
 def order_metrics_no_fanout(
     orders: DataFrame, items: DataFrame, reviews: DataFrame
 ) -> DataFrame:
     """Like :func:`order_metrics`, with each item counted once."""
-    return _order_metrics(orders, items, reviews, F.lit(1))
+    return _order_metrics(orders, items, reviews, "1")
 
 
 def consolidated(
     orders: DataFrame, items: DataFrame, reviews: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Every item with its order and, where there are any, each of the order's reviews."""
-    return spread_join(items, orders, reviews, "order_id", hot_rows)
+    return left_join_with_parent(items, orders, reviews, "order_id", hot_rows)
 
 
 def _folded_orders(orders: DataFrame, columns: Sequence[str]) -> DataFrame:
     return orders.groupBy("order_id", *columns).agg(F.count("*").alias("copies"))
 
 
-def _sales_per(orders: DataFrame, items: DataFrame, dimension: str, amount: Column) -> DataFrame:
+def _sales_per(orders: DataFrame, items: DataFrame, dimension: str, amount: str) -> DataFrame:
     """Orders and the exact sum of ``amount`` per value of one order column."""
     per_order = items.groupBy("order_id").agg(
-        F.count(amount).alias("n_amounts"), *AMOUNT.of(amount)
+        F.expr(f"count({amount}) AS n_amounts"), *AMOUNT.of(amount)
     )
     # Each order and dimension value is left once, so rows count distinct orders.
     return (
@@ -145,19 +133,25 @@ def _sales_per(orders: DataFrame, items: DataFrame, dimension: str, amount: Colu
         .groupBy(dimension)
         .agg(
             F.count("*").alias("n_orders"),
-            F.sum(F.col("n_amounts") * F.col("copies")).alias("n_amounts"),
-            *AMOUNT.again(F.col("copies")),
+            F.expr("sum(n_amounts * copies) AS n_amounts"),
+            *AMOUNT.again("copies"),
         )
     )
 
 
+def _top_spenders(orders: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    spend = _sales_per(orders, items, "customer_id", "price + freight_value")
+    spend = spend.select("*", AMOUNT.rounded().alias("spend_total"))
+    return top_k(spend, "spend_total", k, ["customer_id"])
+
+
 def _order_metrics(
-    orders: DataFrame, items: DataFrame, reviews: DataFrame, times: Column
+    orders: DataFrame, items: DataFrame, reviews: DataFrame, times: str
 ) -> DataFrame:
     per_order = items.groupBy("order_id").agg(
         F.count("order_item_id").alias("n_items"),
-        *PRICE.of(F.col("price")),
-        *FREIGHT.of(F.col("freight_value")),
+        *PRICE.of("price"),
+        *FREIGHT.of("freight_value"),
     )
     scores = reviews.groupBy("order_id").agg(
         F.count("*").alias("n_reviews"), F.avg("review_score").alias("avg_score")
@@ -172,7 +166,7 @@ def _order_metrics(
             "order_status",
             PRICE.total(times).alias("spend_total"),
             FREIGHT.total(times).alias("freight_total"),
-            (F.col("n_items") * times).cast("double").alias("item_count"),
+            F.expr(f"cast(n_items * ({times}) AS double) AS item_count"),
             "avg_score",
         )
     )
