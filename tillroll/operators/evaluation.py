@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def area_under_roc(predictions: DataFrame, label: str, score: str = "rawPrediction") -> float:
-    """Exact area under the ROC curve of a score or raw prediction column.
+def area_under_roc(
+    predictions: DataFrame, label: str, score: str = "rawPrediction", bins: int = 0
+) -> float:
+    """Area under the ROC curve of a score or raw prediction column.
 
-    ``numBins=0`` keeps every distinct score; the default merges them into 1,000 bins.
+    ``bins=0`` keeps every distinct score and is exact. A positive number merges the
+    scores into about that many points, which is cheaper where nearly all scores differ.
     """
     return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0
+        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=bins
     ).evaluate(predictions)
 
 

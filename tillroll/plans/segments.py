@@ -18,13 +18,18 @@ from tillroll.operators.clustering import (
     placed_by_key,
     search_k,
 )
-from tillroll.operators.features import FEATURE_NAMES, SCALED, scaled_features
+from tillroll.operators.features import (
+    FEATURE_NAMES,
+    SCALED,
+    STATUS_INDEX,
+    scaled_features,
+)
 from tillroll.sources.session import persisted
 
 
 def segment_features(clean: DataFrame) -> DataFrame:
     """Clean order metrics with their scaled feature vector; fitted on all rows."""
-    return scaled_features(clean).drop("features")
+    return scaled_features(clean).drop("features", STATUS_INDEX)
 
 
 @dataclass(frozen=True)
@@ -64,10 +69,10 @@ def fit_segments(
 ) -> Segmentation:
     """Fits k-means for each k on features placed by key.
 
-    The features are persisted while fitting and released before this returns. ``clean``
-    should be read from storage: lost blocks are then rebuilt from files.
+    Key and vector alone are persisted while fitting, and released before this returns.
+    ``clean`` should be read from storage: lost blocks are then rebuilt from files.
     """
-    features = placed_by_key(segment_features(clean), key, partitions)
-    with persisted(features) as (kept,):
+    features = segment_features(clean)
+    with persisted(placed_by_key(features.select(key, SCALED), key, partitions)) as (kept,):
         results = search_k(kept, ks)
     return Segmentation(features, results)
