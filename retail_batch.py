@@ -1,4 +1,4 @@
-"""spark-submit retail_batch.py ORDERS_CSV ITEMS_CSV REVIEWS_CSV OUTPUT
+"""spark-submit retail_batch.py ORDERS_CSV ITEMS_CSV REVIEWS_CSV OUTPUT [--buckets N]
 
 Session settings (master, memory, shuffle partitions) come from spark-submit.
 """
@@ -17,12 +17,15 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     for name in ("orders", "items", "reviews", "output"):
         parser.add_argument(name)
-    paths = parser.parse_args()
+    parser.add_argument("--buckets", type=int, help="store the inputs in N buckets by order")
+    given = parser.parse_args()
     spark = SparkSession.builder.appName("retail-batch").getOrCreate()
     try:
-        run(spark, paths.orders, paths.items, paths.reviews, paths.output).show()
+        run(
+            spark, given.orders, given.items, given.reviews, given.output, given.buckets
+        ).show()
         for table in ("consolidated", "order_metrics"):
-            sink_manifest(spark, f"{paths.output}/{table}").show(truncate=False)
+            sink_manifest(spark, f"{given.output}/{table}").show(truncate=False)
     finally:
         spark.stop()
 

@@ -4,30 +4,34 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import TESTDATA
-from tillroll.plans import batch
-from tillroll.sources import schemas, sinks
+from tillroll.plans import batch, reports
+from tillroll.sources import sinks
 from tillroll.sources.warehouse import retail_tables
 
 
 @pytest.fixture(scope="module")
-def output(spark, tmp_path_factory):
-    folder = tmp_path_factory.mktemp("batch")
+def paths(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("csv")
     tables = retail_tables(spark, f"{TESTDATA}/sf0.001")
     tables["reviews"] = tables["reviews"].withColumn(
         "review_comment_message", F.lit('one "two",\nthree')
     )
-    paths = []
-    for name, schema in (
-        ("orders", schemas.ORDERS), ("items", schemas.ITEMS), ("reviews", schemas.REVIEWS)
-    ):
+    paths = {}
+    for name, schema in batch.INPUTS.items():
         wanted = [line.split()[0] for line in schema.split(",")]
         columns = [
             F.col(c) if c in tables[name].columns else F.lit(None).cast("string").alias(c)
             for c in wanted
         ]
-        paths.append(sinks.write_csv(tables[name].select(*columns), str(folder / f"{name}-csv")))
-    batch.run(spark, *paths, str(folder / "out"))
-    return str(folder / "out")
+        paths[name] = sinks.write_csv(tables[name].select(*columns), str(folder / name))
+    return paths
+
+
+@pytest.fixture(scope="module")
+def output(spark, paths, tmp_path_factory):
+    output = str(tmp_path_factory.mktemp("batch"))
+    batch.run(spark, *paths.values(), output)
+    return output
 
 
 def test_landed_tables_hold_every_record(spark, output):
@@ -58,3 +62,29 @@ def test_learning_results_are_complete(spark, output):
     assert profile.agg(F.sum("n_orders")).first()[0] == clusters.count()
     assert spark.read.parquet(f"{output}/silhouettes").count() == 5
     assert spark.read.parquet(f"{output}/coefficients").count() == 5
+
+
+def test_bucketed_tables_give_the_same_reports_without_shuffling_orders(
+    spark, paths, output, tmp_path, rows
+):
+    tables = batch.land(spark, paths, str(tmp_path), buckets=4)
+    orders, items, reviews = tables["orders"], tables["items"], tables["reviews"]
+    metrics = reports.order_metrics(orders, items, reviews)
+    assert rows(metrics) == rows(spark.read.parquet(f"{output}/order_metrics"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame, shuffles in (
+            (reports.order_metrics(orders, items, reviews), 0),
+            (reports.consolidated(orders, items, reviews), 0),
+            (reports.top_customers(orders, items), 1),
+        ):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == shuffles
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_orders_are_not_bucketed(spark, paths, tmp_path):
+    tables = batch.land(spark, paths, str(tmp_path), buckets=4, hot_rows=5)
+    plan = tables["items"]._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" not in plan and "SelectedBucketsCount" not in plan

@@ -5,31 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import grouping, ranking
+from tillroll.operators.joins import HOT_ROWS, hot_keys
 from tillroll.plans import reports, satisfaction, segments
 from tillroll.sources import readers, schemas, sinks
 
 TOP = 10
+INPUTS = {"orders": schemas.ORDERS, "items": schemas.ITEMS, "reviews": schemas.REVIEWS}
+KEY = "order_id"
 
 
-def land(spark: SparkSession, orders: str, items: str, reviews: str, output: str) -> None:
-    """Converts the CSV inputs to Parquet once; every later step reads columns from there."""
-    for name, path, schema in (
-        ("orders", orders, schemas.ORDERS),
-        ("items", items, schemas.ITEMS),
-        ("reviews", reviews, schemas.REVIEWS),
-    ):
+def land(
+    spark: SparkSession,
+    paths: dict[str, str],
+    output: str,
+    buckets: int | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> dict[str, DataFrame]:
+    """Converts the CSV inputs to Parquet once; every later step reads columns from there.
+
+    With ``buckets`` the tables are also shuffled by order once, here, and no report
+    shuffles items, orders or reviews again. That is skipped if any table has a hot order,
+    which would fill one bucket; the reports then spread it themselves.
+    """
+    landed = {}
+    for name, schema in INPUTS.items():
         # Only reviews hold free text with line breaks, which keep a file in one task.
-        multi_line = name == "reviews"
-        table = readers.read_csv_typed(spark, path, schema, multi_line=multi_line)
-        sinks.write_parquet(table, f"{output}/{name}")
+        table = readers.read_csv_typed(spark, paths[name], schema, multi_line=name == "reviews")
+        path = sinks.write_parquet(table, f"{output}/{name}")
+        landed[name] = readers.read_parquet(spark, path)
+    if buckets is None or any(hot_keys(table, KEY, hot_rows) for table in landed.values()):
+        return landed
+    return {
+        name: sinks.write_bucketed(
+            table, f"{name}_by_order", f"{output}/{name}_by_order", KEY, buckets
+        )
+        for name, table in landed.items()
+    }
 
 
-def run_reports(spark: SparkSession, output: str) -> None:
+def run_reports(tables: dict[str, DataFrame], output: str) -> None:
     """Stores the business reports, the consolidated table and the order metrics."""
-    orders, items, reviews = (
-        readers.read_parquet(spark, f"{output}/{name}") for name in ("orders", "items", "reviews")
-    )
-    sales = grouping.sum_per_key(items, "order_id", "price + freight_value", "sale_total")
+    orders, items, reviews = tables["orders"], tables["items"], tables["reviews"]
+    sales = grouping.sum_per_key(items, KEY, "price + freight_value", "sale_total")
     results = {
         "sales_by_status": reports.sales_by_status(orders, items),
         "top_products": reports.top_products(items, TOP),
@@ -37,7 +54,7 @@ def run_reports(spark: SparkSession, output: str) -> None:
         "top_customers": reports.top_customers(orders, items, TOP),
         "monthly_sales": reports.monthly_sales(orders, items),
         "price_stats": grouping.numeric_summary(items, "price"),
-        "top_orders": ranking.top_k(sales, "sale_total", TOP, ["order_id"]),
+        "top_orders": ranking.top_k(sales, "sale_total", TOP, [KEY]),
         "consolidated": reports.consolidated(orders, items, reviews),
         "order_metrics": reports.order_metrics(orders, items, reviews),
     }
@@ -71,10 +88,17 @@ def run_learning(spark: SparkSession, output: str) -> DataFrame:
     )
 
 
-def run(spark: SparkSession, orders: str, items: str, reviews: str, output: str) -> DataFrame:
+def run(
+    spark: SparkSession,
+    orders: str,
+    items: str,
+    reviews: str,
+    output: str,
+    buckets: int | None = None,
+) -> DataFrame:
     """All stages; ``output`` is a folder that every node of the cluster can reach."""
-    land(spark, orders, items, reviews, output)
-    run_reports(spark, output)
+    paths = {"orders": orders, "items": items, "reviews": reviews}
+    run_reports(land(spark, paths, output, buckets), output)
     summary = run_learning(spark, output)
     sinks.write_parquet(summary, f"{output}/summary")
     return summary
