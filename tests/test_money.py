@@ -13,8 +13,9 @@ SCHEMA = "k int, x double"
 
 def summed(frame):
     return (
-        frame.groupBy("k")
-        .agg(F.count("x").alias("n"), *X.of("x"))
+        frame.select("k", "x", *X.split("x"))
+        .groupBy("k")
+        .agg(F.count("x").alias("n"), *X.sums())
         .select("k", X.total().alias("total"), X.rounded().alias("rounded"),
                 X.mean("n").alias("mean"), "n")
         .orderBy("k")
@@ -61,7 +62,8 @@ def test_sums_beyond_the_range_of_exact_doubles(make):
 
 def test_partial_sums_can_be_added_again_with_a_factor(make):
     data = [(1, 1.1), (1, 2.2), (2, 3.3), (3, None)]
-    parts = make.frame(data, SCHEMA).groupBy("k").agg(*X.of("x"))
+    split = make.frame(data, SCHEMA).select("k", *X.split("x"))
+    parts = split.groupBy("k").agg(*X.sums())
     twice = parts.agg(*X.again("2")).select(X.total().alias("t")).first()["t"]
     assert twice == 13.2
     scaled = parts.select("k", X.total("k").alias("t")).orderBy("k").collect()

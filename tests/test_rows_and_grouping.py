@@ -51,7 +51,7 @@ def test_numeric_summary_skips_nulls(make):
         "n_values": 3,
         "sum_value": 230.5,
         "avg_value": 76.83,
-        "stddev_value": 58.80,
+        "stddev_value": 58.78,
         "min_value": 10.0,
         "max_value": 120.5,
     }

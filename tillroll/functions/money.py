@@ -28,7 +28,11 @@ EXACT_UNITS = "9e15d"
 
 @dataclass(frozen=True)
 class ExactSum:
-    """The columns ``<name>_high``, ``<name>_low`` and ``<name>_rest`` of one sum."""
+    """One sum, held in the columns ``<name>_high``, ``<name>_low`` and ``<name>_rest``.
+
+    Rows are split first and summed then: ``frame.select(key, *s.split("price"))``,
+    ``.groupBy(key).agg(*s.sums())``, and ``s.total()`` or ``s.mean(...)`` of the result.
+    """
 
     name: str
     digits: int = 2
@@ -37,19 +41,25 @@ class ExactSum:
     def columns(self) -> list[str]:
         return [f"{self.name}_high", f"{self.name}_low", f"{self.name}_rest"]
 
-    def of(self, amount: str) -> list[Column]:
-        """Aggregate expressions that build the sum of ``amount``."""
+    def split(self, amount: str) -> list[Column]:
+        """``<name>_units`` and ``<name>_loose`` of each row, to select ahead of the sums."""
         scaled = f"(cast({amount} AS double) * {self._scale})"
         whole = (
-            f"(abs({scaled}) < {EXACT_UNITS}"
-            f" AND abs({scaled} - rint({scaled})) <= abs({scaled}) * 1e-12d + 1e-9d)"
+            f"abs({scaled}) < {EXACT_UNITS}"
+            f" AND abs({scaled} - rint({scaled})) <= abs({scaled}) * 1e-12d + 1e-9d"
         )
-        units = f"if({whole}, cast(rint({scaled}) AS bigint), null)"
+        return [
+            F.expr(f"if({whole}, cast(rint({scaled}) AS bigint), null) AS {self.name}_units"),
+            F.expr(f"if({whole}, null, cast({amount} AS double)) AS {self.name}_loose"),
+        ]
+
+    def sums(self) -> list[Column]:
+        """Aggregate expressions that build the sum of the split amounts."""
         high, low, rest = self.columns
         return [
-            F.expr(f"sum(shiftright({units}, {LOW_BITS})) AS {high}"),
-            F.expr(f"sum({units} & {LOW_SIZE - 1}) AS {low}"),
-            F.expr(f"sum(if({whole}, null, cast({amount} AS double))) AS {rest}"),
+            F.expr(f"sum(shiftright({self.name}_units, {LOW_BITS})) AS {high}"),
+            F.expr(f"sum({self.name}_units & {LOW_SIZE - 1}) AS {low}"),
+            F.expr(f"sum({self.name}_loose) AS {rest}"),
         ]
 
     def again(self, times: str | None = None) -> list[Column]:

@@ -104,13 +104,14 @@ def cluster_profile(clustered: DataFrame, cluster: str = "prediction") -> DataFr
     """Size of each cluster of orders and its mean spend, freight, items and score."""
     spend, freight = ExactSum("spend"), ExactSum("freight")
     return (
-        clustered.groupBy(cluster)
+        clustered.select("*", *spend.split("spend_total"), *freight.split("freight_total"))
+        .groupBy(cluster)
         .agg(
             F.count("*").alias("n_orders"),
             F.count("spend_total").alias("n_spend"),
-            *spend.of("spend_total"),
+            *spend.sums(),
             F.count("freight_total").alias("n_freight"),
-            *freight.of("freight_total"),
+            *freight.sums(),
             F.round(F.avg("item_count"), 2).alias("avg_items"),
             F.round(F.avg("avg_score"), 2).alias("avg_score"),
         )

@@ -18,8 +18,9 @@ def sum_per_key(frame: DataFrame, key: str, amount: str, name: str) -> DataFrame
     """Sum per key of a currency amount, given as SQL text, rounded to cents."""
     amount_sum = ExactSum("amount")
     return (
-        frame.groupBy(key)
-        .agg(*amount_sum.of(amount))
+        frame.select(key, *amount_sum.split(amount))
+        .groupBy(key)
+        .agg(*amount_sum.sums())
         .select(key, amount_sum.rounded().alias(name))
     )
 
@@ -32,9 +33,9 @@ def numeric_summary(frame: DataFrame, column: str) -> DataFrame:
     """Count, sum, mean, sample deviation, minimum and maximum of a currency column."""
     value = F.col(column)
     value_sum = ExactSum("value")
-    return frame.agg(
+    return frame.select(column, *value_sum.split(column)).agg(
         F.count(value).alias("n_values"),
-        *value_sum.of(column),
+        *value_sum.sums(),
         F.stddev_samp(value).alias("deviation"),
         F.min(value).alias("lowest"),
         F.max(value).alias("highest"),

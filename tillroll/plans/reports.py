@@ -69,10 +69,10 @@ def avg_ticket_per_order(orders: DataFrame, items: DataFrame, k: int = 10) -> Da
 
 def top_products(items: DataFrame, k: int = 10) -> DataFrame:
     """The products sold most often, with revenue and mean price."""
-    sales = items.groupBy("product_id").agg(
-        F.count("*").alias("n_sold"),
-        F.count("price").alias("n_prices"),
-        *PRICE.of("price"),
+    sales = (
+        items.select("product_id", "price", *PRICE.split("price"))
+        .groupBy("product_id")
+        .agg(F.count("*").alias("n_sold"), F.count("price").alias("n_prices"), *PRICE.sums())
     )
     return top_k(sales, "n_sold", k, ["product_id"]).select(
         "product_id",
@@ -123,8 +123,10 @@ def _folded_orders(orders: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _sales_per(orders: DataFrame, items: DataFrame, dimension: str, amount: str) -> DataFrame:
     """Orders and the exact sum of ``amount`` per value of one order column."""
-    per_order = items.groupBy("order_id").agg(
-        F.expr(f"count({amount}) AS n_amounts"), *AMOUNT.of(amount)
+    per_order = (
+        items.select("order_id", F.expr(f"{amount} AS amount"), *AMOUNT.split(amount))
+        .groupBy("order_id")
+        .agg(F.count("amount").alias("n_amounts"), *AMOUNT.sums())
     )
     # Each order and dimension value is left once, so rows count distinct orders.
     return (
@@ -148,10 +150,12 @@ def _top_spenders(orders: DataFrame, items: DataFrame, k: int) -> DataFrame:
 def _order_metrics(
     orders: DataFrame, items: DataFrame, reviews: DataFrame, times: str
 ) -> DataFrame:
-    per_order = items.groupBy("order_id").agg(
-        F.count("order_item_id").alias("n_items"),
-        *PRICE.of("price"),
-        *FREIGHT.of("freight_value"),
+    per_order = (
+        items.select(
+            "order_id", "order_item_id", *PRICE.split("price"), *FREIGHT.split("freight_value")
+        )
+        .groupBy("order_id")
+        .agg(F.count("order_item_id").alias("n_items"), *PRICE.sums(), *FREIGHT.sums())
     )
     scores = reviews.groupBy("order_id").agg(
         F.count("*").alias("n_reviews"), F.avg("review_score").alias("avg_score")
