@@ -1,6 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
-Each query is written to the ``noop`` sink: one warm-up, then the median of three runs.
+Each query is written to the ``noop`` sink: one warm-up pass over all queries, then the
+median of three runs of each.
 ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose the tables and the number of local cores.
 """
 
@@ -57,22 +58,23 @@ def drain(frame: DataFrame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
-def seconds(spark: SparkSession, name: str, folder: str, runs: int) -> float:
-    """Median over ``runs`` after a warm-up; building the query counts, as fits run there."""
-    timings = []
-    for run in range(runs + 1):
-        start = time.perf_counter()
-        drain(QUERIES[name](spark, folder))
-        if run:
-            timings.append(time.perf_counter() - start)
-    return round(statistics.median(timings), 3)
+def seconds(spark: SparkSession, name: str, folder: str) -> float:
+    """One run, building the query included, as fits run there."""
+    start = time.perf_counter()
+    drain(QUERIES[name](spark, folder))
+    return time.perf_counter() - start
 
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
-    queries = {name: seconds(spark, name, folder, RUNS) for name in HEADLINE}
-    queries |= {name: seconds(spark, name, folder, 1) for name in LEARNING}
+    runs = {**dict.fromkeys(HEADLINE, RUNS), **dict.fromkeys(LEARNING, 1)}
+    for name in runs:
+        seconds(spark, name, folder)
+    queries = {
+        name: round(statistics.median(seconds(spark, name, folder) for _ in range(n)), 3)
+        for name, n in runs.items()
+    }
     spark.stop()
     print(
         json.dumps(
