@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -18,16 +19,19 @@ K_RANGE = range(2, 7)
 SEED = 42
 MAX_ITERATIONS = 20
 
+PLACED_ROWS = 250_000
+
 
 def placed_by_key(frame: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Puts rows into an order that depends on the key alone.
 
     K-means draws its first centres per partition, so its result follows the placement of
-    the rows even with a seed. The number of partitions defaults to the session's
-    ``spark.sql.shuffle.partitions``; ``key`` should be unique, or nearly so.
+    the rows even with a seed. The number of partitions defaults to one per
+    ``PLACED_ROWS`` rows, so it too depends on the data and not on the session; ``key``
+    should be unique, or nearly so.
     """
     if partitions is None:
-        partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(1, math.ceil(frame.count() / PLACED_ROWS))
     return frame.repartition(partitions, key).sortWithinPartitions(key)
 
 
