@@ -4,7 +4,7 @@ Adding doubles gives a result that depends on the order of the rows, and past ab
 1e13 a double no longer holds whole cents. Here every amount is taken apart into whole
 minor units (cents for two digits), which are added as integers. The unit count is kept
 as two bigint halves, so that a sum over any number of rows neither overflows nor leaves
-whole-stage codegen; a decimal(14,2) cast gives the same digits at several times the cost.
+whole-stage codegen; a decimal(14,2) cast gives the same digits but is slower.
 
 Amounts which are no whole number of minor units, NaN, infinities and amounts beyond
 9e15 units go to a third, double-valued sum, so that these columns behave as a plain
