@@ -67,3 +67,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """Strings of an Arrow column as UTF-8, without decoding them."""
     return column.cast(pa.large_binary()).to_pylist()
+
+
+def bounded_sample(frame: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows: those with the smallest hashes of the ``key`` column.
+
+    A count first narrows the hashes to about twice as many rows, so that tasks do not each
+    keep ``rows`` of them; if that leaves too few, all rows are considered.
+    """
+    slots = 1 << 40
+    share = min(1.0, 2 * rows / max(1, frame.count()))
+    hashed = F.xxhash64(key)
+    near = frame.where(F.pmod(hashed, F.lit(slots)) < int(share * slots))
+    if share < 1 and near.limit(rows).count() < rows:
+        near = frame
+    return near.orderBy(F.pmod(hashed, F.lit(slots)), hashed).limit(rows)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_batches, slices, text_bytes
+from tillroll.llm.common import bounded_sample, map_batches, slices, text_bytes
 
 #: Labelled documents used for the fit, at most: those with the smallest hashes.
 TRAINING_ROWS = 2000
@@ -160,20 +160,22 @@ def _slopes(weights, x, labels) -> dict[str, np.ndarray]:
 
 
 def fit(
-    labelled: DataFrame, text_column: str, label_column: str, rows: int = TRAINING_ROWS
+    labelled: DataFrame,
+    text_column: str,
+    label_column: str,
+    id_column: str = "doc_id",
+    rows: int = TRAINING_ROWS,
 ) -> Network:
-    """Trains on at most ``rows`` rows with text and label, chosen by their hashes.
+    """Trains on at most ``rows`` rows with text and label, chosen by hashes of their ids.
 
     Windows are drawn from anywhere in the whole texts.
     """
     text, label = F.col(text_column), F.col(label_column)
-    chosen = (
-        labelled.where(text.isNotNull() & (text != "") & label.isNotNull())
-        .select(text.alias("text"), label.cast("string").alias("label"),
-                F.xxhash64(text).alias("h"))
-        .orderBy("h", "label").limit(rows)
+    usable = labelled.where(text.isNotNull() & (text != "") & label.isNotNull()).select(
+        text.alias("text"), label.cast("string").alias("label"), F.col(id_column).alias("id")
     )
-    return train([(r["text"].encode(), r["label"]) for r in chosen.collect()])
+    chosen = bounded_sample(usable, "id", rows).collect()
+    return train(sorted((r["text"].encode(), r["label"]) for r in chosen))
 
 
 def _letters() -> np.ndarray:

@@ -20,7 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored
+from tillroll.llm.common import bounded_sample, stored
 
 #: Labelled documents that the classifier is fitted on, at most, chosen by hashes of their ids.
 TRAINING_ROWS = 20_000
@@ -55,10 +55,8 @@ def fit_classifier(
     ``labelled`` has (id, domain); domains that are not listed and null ones are left out.
     Counts are smoothed by one; without labelled rows all odds are even.
     """
-    chosen = (
-        labelled.where(F.col("id").isNotNull() & F.col("domain").isin(domains))
-        .orderBy(F.xxhash64("id"), "id", "domain").limit(rows)
-    )
+    usable = labelled.where(F.col("id").isNotNull() & F.col("domain").isin(domains))
+    chosen = bounded_sample(usable, "id", rows)
     # at most TRAINING_ROWS rows of an id and a name
     sample = documents.select(id_column, text_column).join(
         F.broadcast(chosen.select(F.col("id").alias(id_column), "domain")), id_column

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_batches, slices
+from tillroll.llm.common import bounded_sample, map_batches, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with digits or an at sign that the trees are trained on, at most.
@@ -217,11 +217,19 @@ def _calibrate(trees: Trees, rows: np.ndarray, labels: np.ndarray) -> None:
     trees.slope, trees.offset = float(weights[0]), float(weights[1])
 
 
-def fit(documents: DataFrame, text_column: str = "text", rows: int = TRAINING_ROWS) -> Trees | None:
-    """Trains on candidates of at most ``rows`` texts, chosen by hash; None without both classes."""
+def fit(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    rows: int = TRAINING_ROWS,
+) -> Trees | None:
+    """Trains on candidates of at most ``rows`` texts, chosen by hashes of their ids.
+
+    Without candidates of both classes there are no trees, and only base spans are found.
+    """
     text = F.col(text_column)
-    chosen = documents.where(text.rlike("[0-9]{2}|@")).select(text.alias("t"), F.xxhash64(text).alias("h"))
-    taken = chosen.orderBy("h").limit(rows).collect()
+    usable = documents.where(text.rlike("[0-9]{2}|@")).select(text.alias("t"), F.col(id_column).alias("id"))
+    taken = sorted(bounded_sample(usable, "id", rows).collect(), key=lambda row: row["t"])
     made, labels, held = [], [], []
     for k, row in enumerate(taken):
         real = set(base_spans(row["t"]))

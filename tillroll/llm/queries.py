@@ -87,7 +87,7 @@ def op8_toxic_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", "toxic")
     learnt = labels.where(fold("doc_id", 5) != 0)
-    index = toxicity.fit(documents.join(learnt, "doc_id"))
+    index = toxicity.fit(documents, learnt)
     return toxicity.score(documents, index).select(
         F.col("id").alias("doc_id"),
         F.coalesce(fold("id", 5) == 0, F.lit(False)).alias("held_out"),

@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_batches, slices, text_bytes
+from tillroll.llm.common import bounded_sample, map_batches, slices, text_bytes
 
-#: Labelled documents in the index at most, chosen by the hashes of their texts.
+#: Labelled documents in the index at most.
 EXAMPLES = 4000
 #: Terms at most, those that depend most on the label.
 TERMS = 4096
@@ -216,21 +216,24 @@ def _calibrate(index: Index, groups: dict) -> None:
 
 
 def fit(
-    labelled: DataFrame,
+    documents: DataFrame,
+    labels: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
     rows: int = EXAMPLES,
 ) -> Index:
-    """Indexes at most ``rows`` texts whose label is 0 or 1, taken by their hashes."""
-    text, label = F.col(text_column), F.col(label_column)
-    chosen = (
-        labelled.where(text.isNotNull() & label.isin(0, 1))
-        .select(text.alias("t"), label.cast("int").alias("y"), F.col(id_column).alias("id"),
-                F.xxhash64(text).alias("h"))
-        .orderBy("h", "y", "id").limit(rows)
+    """Indexes the texts of at most ``rows`` labels that are 0 or 1, chosen by hashes of their ids."""
+    label = F.col(label_column)
+    usable = labels.where(label.isin(0, 1) & F.col(id_column).isNotNull()).select(
+        id_column, label.cast("int").alias("_label")
     )
-    return build([(r["t"].encode(), r["y"], r["id"]) for r in chosen.collect()])
+    chosen = F.broadcast(bounded_sample(usable, id_column, rows))  # EXAMPLES small rows at most
+    found = documents.where(F.col(text_column).isNotNull()).join(chosen, id_column).select(
+        F.col(text_column).alias("t"), F.col("_label").alias("y"), F.col(id_column).alias("id")
+    )
+    samples = bounded_sample(found, "id", rows).collect()
+    return build(sorted((r["t"].encode(), r["y"], r["id"]) for r in samples))
 
 
 def score(
