@@ -46,7 +46,8 @@ def fingerprints(texts: list[bytes | None], shingle_words: int = SHINGLE_WORDS)
             bits = np.unpackbits(
                 np.array(held, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
             )
-            ones[owners] += np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+            # pieces of one text may be counted together
+            np.add.at(ones, owners, np.add.reduceat(bits, starts, axis=0, dtype=np.int64))
             held.clear(), owners.clear(), starts.clear()
 
     digest = xxhash.xxh64_intdigest
