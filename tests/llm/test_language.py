@@ -1,0 +1,93 @@
+import zlib
+
+import numpy as np
+import pytest
+from conftest import TESTDATA
+from pyspark.sql import functions as F
+
+from tillroll.llm import language
+
+EN = b"the weather of the day is the same there as in other things, "
+DE = "das Wetter über den Bächen und schön für die Gäste, ".encode()
+
+
+@pytest.fixture(scope="module")
+def network():
+    return language.train([(EN * 5, "en"), (DE * 5, "de")])
+
+
+def test_slopes_equal_differences():
+    rng = np.random.default_rng(0)
+    size = language.HIDDEN
+    weights = {
+        "inputs": rng.normal(0, 0.4, (2, 3 * size, 256)), "recurrent": rng.normal(0, 0.4, (2, 3 * size, size)),
+        "output": rng.normal(0, 0.4, (3, 2 * size)), "bias": rng.normal(0, 0.4, 3),
+    }
+    weights["inputs"][:, : 2 * size] += 0.5
+    x, labels = rng.integers(97, 100, (7, 4)), np.array([0, 1, 2, 1])
+
+    def loss():
+        net = language.Network(["a", "b", "c"], *(weights[k].astype(np.float32) for k in weights))
+        p = net.label(x.astype(np.uint8))
+        return -np.log(p[:, labels, np.arange(4)]).mean()
+
+    slope = language._slopes({k: v.astype(np.float32) for k, v in weights.items()}, x, labels)
+    for name, at in (("output", (1, 3)), ("bias", (2,)), ("recurrent", (0, 2, 1)), ("recurrent", (1, 20, 4)),
+                     ("inputs", (0, 1, 98)), ("inputs", (1, 18, 99))):
+        kept, step = weights[name][at], 3e-3
+        weights[name][at] = kept + step
+        high = loss()
+        weights[name][at] = kept - step
+        low = loss()
+        weights[name][at] = kept
+        assert slope[name][at] == pytest.approx((high - low) / (2 * step), abs=2e-3), name
+
+
+def test_every_position_is_labelled(network):
+    windows = np.frombuffer((EN * 2)[:60] + (DE * 2)[:60], np.uint8).reshape(2, 60).T
+    labelled = network.label(np.ascontiguousarray(windows))
+    assert labelled.shape == (60, 2, 2)
+    assert np.allclose(labelled.sum(axis=1), 1, atol=1e-5)
+
+
+def test_odd_rows(make, network):
+    long_text = (DE * 12_000).decode()
+    rows = [(1, None), (2, ""), (3, "123 . !"), (4, EN.decode()), (5, DE.decode()), (5, DE.decode()), (6, long_text),
+            (None, "日")]
+    frame = make.frame(rows, "doc_id long, text string").withColumns({"found": F.lit(1), "row": F.lit(2)})
+    found = language.identify(frame, network)
+    got = [(r["row"]["doc_id"], r["found"]["lang"]) for r in found.collect()]
+    assert sorted(got[:7]) == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (5, "de"), (5, "de"), (6, "de")]
+    assert got[7][1] in ("de", "en")
+    scores = [r["found"]["score"] for r in found.collect()]
+    assert scores[:3] == [0, 0, 0] and all(0 <= s <= 1 for s in scores)
+    kept = found.where(language.accepted()).select("row.*")
+    assert kept.columns == frame.columns and kept.where("doc_id < 4").count() == 0
+    assert language.identify(frame.limit(0), network).count() == 0
+
+
+def test_one_label_or_none(make):
+    frame = make.frame([(1, "abc"), (2, "1")], "doc_id long, text string")
+    for samples, name in (([], "und"), ([(b"abc", "xx")], "xx")):
+        found = language.identify(frame, language.train(samples)).select("row.doc_id", "found.lang").collect()
+        assert sorted(map(tuple, found)) == [(1, name), (2, "und")]
+
+
+def test_fit_skips_nulls(make):
+    rows = [(1, None, "en"), (2, "abc", None), (3, "", "en"), (4, "abc def", "en"), (None, "xyz", "de")]
+    net = language.fit(make.frame(rows, "doc_id long, text string, lang string"), "text", "lang")
+    assert net.languages == ["de", "en"]
+    assert language.fit(make.frame([], "doc_id long, text string, lang string"), "text", "lang").languages == []
+
+
+def test_query_is_right_on_held_out_documents(spark):
+    from tillroll.llm.queries import op10_byte_network
+
+    folder = f"{TESTDATA}/sf0.01"
+    real = dict(map(tuple, spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()))
+    got = op10_byte_network(spark, folder).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(real)
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+    held = [r["lang_pred"] == real[r["doc_id"]] for r in got if r["held_out"]]
+    assert sum(held) / len(held) >= 0.95

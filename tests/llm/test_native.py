@@ -1,0 +1,154 @@
+"""The operators that run on DataFrame functions alone: licences and mixing."""
+
+import numpy as np
+import pytest
+from conftest import TESTDATA
+from pyspark.sql import functions as F
+
+from tillroll.llm import licences, mixing
+from tillroll.llm.templates import TEMPLATES
+
+SCHEMA = "doc_id long, text string"
+PYTHON = ("Python", "Pandas", "Arrow")
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def brute_dice(text, template):
+    pairs = []
+    for t in (text, template):
+        w = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in t.lower()).split()
+        pairs.append({(a, b) for a, b in zip(w, w[1:])})
+    a, b = pairs
+    return 2 * len(a & b) / (len(a) + len(b)) if a and b else 0.0
+
+
+def test_lines_and_whole_texts_take_their_best_template(make):
+    mit = TEMPLATES["MIT"][2]
+    texts = {
+        1: "words first\nReleased under the MIT license!\nwords after", 2: mit, 3: mit.replace("Software", "Thing"),
+        4: "Licensed under the Apache License, Version 2.0.\nLicensed under CC BY-NC 4.0.", 5: None, 6: "", 7: "MIT",
+        8: "no licence at all in here", 9: "\n\n", 10: "x " * 200_000,
+    }
+    got = licences.licence_matches(make.frame(list(texts.items()), SCHEMA)).collect()
+    found = {(r["id"], r["license"]): (round(r["dice"], 6), r["line"], r["n_lines"]) for r in got}
+    wanted = {}
+    for i, text in texts.items():
+        lines = (text or "").split("\n")
+        segments = list(enumerate(lines)) + ([(-1, text)] if len(lines) > 1 else [])
+        for line, t in segments:
+            scored = [(-brute_dice(t, x), name) for name, many in TEMPLATES.items() for x in many]
+            least, name = min(scored)
+            if -least >= 0.8:
+                wanted.setdefault((i, name), []).append((least, line))
+    wanted = {k: (round(-min(v)[0], 6), min(v)[1], len(v)) for k, v in wanted.items()}
+    assert found == wanted and {i for i, _ in found} == {1, 2, 3, 4}
+
+
+def test_size_bounds_lose_nothing():
+    for b in range(1, 60):
+        low, high = licences.size_bounds(b, 0.8)
+        for a in range(1, 120):
+            possible = 2 * min(a, b) / (a + b) >= 0.8 - 1e-12
+            assert possible == (low <= a <= high)
+
+
+def test_licences_with_repeated_rows_and_clashing_columns(make):
+    rows = [(1, "Released under the MIT License."), (1, "Released under the MIT License."), (None, "Licensed under CC0 1.0.")]
+    frame = make.frame(rows, SCHEMA).withColumns({"line": F.lit("x"), "license": F.lit(1), "id": F.lit(2)})
+    got = licences.licence_matches(frame)
+    found = [(r["id"], r["license"], r["line"], r["n_lines"]) for r in got.collect()]
+    assert sorted(found, key=repr) == [(1, "MIT", 0, 1), (None, "CC0-1.0", 0, 1)]
+    assert licences.licence_matches(frame.limit(0)).count() == 0
+    assert not any(word in plan(got) for word in PYTHON)
+
+
+def corpus(make):
+    docs, labels = [], []
+    for k in range(120):
+        kind = ("clean", "low", "toxic")[k % 3 if k % 2 else 0]
+        word = {"clean": "good calm", "low": "### junk", "toxic": "awful grr"}[kind]
+        docs.append((k, f"{word} text number {k % 7} " * (1 + k % 5)))
+        if k % 4:
+            labels.append((k, kind))
+    docs += [(200, None), (201, ""), (None, "good calm"), (202, "good"), (202, "calm")]
+    labels += [(None, "low"), (500, "low"), (3, None)]
+    return make.frame(docs, SCHEMA), make.frame(labels, "id long, domain string")
+
+
+def test_rates_meet_the_targets(make):
+    docs, labels = corpus(make)
+    targets = {"clean": 0.5, "low": 0.3, "toxic": 0.2}
+    frame = docs.withColumns({"rate": F.lit("x"), "n_tokens": F.lit(1), "id": F.lit(2)})
+    found = mixing.rates(frame, labels, targets, total_tokens=1000.0)
+    rows = found.collect()
+    assert len(rows) == docs.select("doc_id").distinct().count()
+    p = np.array([[r[f"p_{d}"] for d in targets] for r in rows])
+    n = np.array([r["n_tokens"] for r in rows])
+    rate = np.array([r["rate"] for r in rows])
+    assert np.allclose(p.sum(axis=1), 1) and (rate >= 0).all()
+    assert (rate * n) @ p == pytest.approx([500, 300, 200], rel=1e-3)
+    by_id = {r["id"]: r for r in rows}
+    assert by_id[200]["n_tokens"] == by_id[201]["n_tokens"] == 0 and by_id[202]["n_tokens"] == 2
+    assert not any(word in plan(found) for word in PYTHON)
+
+
+def test_rates_equal_projected_gradient_in_numpy(make):
+    docs, labels = corpus(make)
+    rows = mixing.rates(docs, labels, mixing.TARGETS).collect()
+    domains = list(mixing.TARGETS)
+    p = np.array([[r[f"p_{d}"] for d in domains] for r in rows])
+    n = np.array([float(r["n_tokens"]) for r in rows])
+    shares = np.array(list(mixing.TARGETS.values()))
+    available = n @ p
+    wanted = shares / shares.sum() * available[0] / (shares[0] / shares.sum())
+    rate = np.ones(len(rows))
+    for _ in range(4000):
+        miss = ((rate * n) @ p - wanted) / available
+        rate = np.maximum(0, rate - p @ miss)
+    got = np.array([r["rate"] for r in rows])
+    assert ((got * n) @ p - (rate * n) @ p) / available == pytest.approx(np.zeros(3), abs=2e-3)
+
+
+def test_posteriors_follow_the_labels(make):
+    docs, labels = corpus(make)
+    rows = mixing.rates(docs, labels, mixing.TARGETS).where("id < 120").collect()
+    for r in rows:
+        kind = ("clean", "low", "toxic")[r["id"] % 3 if r["id"] % 2 else 0]
+        assert r[f"p_{kind}"] > 0.9
+
+
+def test_mixing_without_labels_or_rows(make):
+    docs, labels = corpus(make)
+    rows = mixing.rates(docs, labels.limit(0), mixing.TARGETS).collect()
+    assert all(abs(r["p_low"] - 1 / 3) < 1e-9 for r in rows)
+    assert mixing.rates(docs.limit(0), labels, mixing.TARGETS).count() == 0
+
+
+def test_copies_have_the_rate_as_mean(spark, make):
+    frame = spark.range(20_000).withColumn("rate", F.lit(1.3))
+    got = frame.select(mixing.copies(F.col("rate"), F.col("id")).alias("n"))
+    counts = dict(map(tuple, got.groupBy("n").count().collect()))
+    assert set(counts) == {1, 2} and counts[2] / 20_000 == pytest.approx(0.3, abs=0.02)
+
+
+def test_mixed_documents_keep_their_columns(make):
+    docs, labels = corpus(make)
+    frame = docs.withColumns({"_n": F.lit(1), "rate": F.lit("r"), "_id": F.lit(0)})
+    got = mixing.mixed(frame, labels, {"clean": 0.9, "low": 0.09, "toxic": 0.01})
+    assert got.columns == frame.columns
+    kept = got.groupBy("doc_id").count()
+    clean = [k for k in range(120) if not k % 2 or k % 3 == 0]
+    assert kept.where(F.col("doc_id").isin(clean)).count() >= 0.95 * len(clean)
+    assert kept.where("doc_id IS NULL").count() == 1
+
+
+def test_query_covers_all_documents(spark):
+    from tillroll.llm.queries import op7_soft_mixing
+
+    folder = f"{TESTDATA}/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = op7_soft_mixing(spark, folder)
+    assert got.count() == docs.count() and got.where("rate < 0 OR n_tokens < 1").count() == 0

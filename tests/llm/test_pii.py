@@ -1,0 +1,98 @@
+import hashlib
+import random
+
+import brute
+import numpy as np
+import pytest
+from conftest import TESTDATA
+from pyspark.sql import functions as F
+
+from tillroll.llm import pii
+
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def trees(spark):
+    return pii.fit(spark.read.parquet(f"{TESTDATA}/sf0.1/documents.parquet"))
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(2)
+    parts = [*"0123456789 -.+@()a_%é", "a@b.c", "192.168.0.1", "4111111111111111", "+1 (212) 555-1234", "256."]
+    for _ in range(6000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 40)))
+        assert pii.base_spans(text) == brute.personal(text), text
+
+
+def test_long_runs_are_linear():
+    for text in ("a" * 300_000, "1" * 300_000, "1.1" * 100_000, "+1 " * 50_000, "a@" * 50_000, "1 " * 100_000):
+        pii.find(text, None)
+
+
+def test_trees_learn_and_are_calibrated():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4000, 5))
+    chance = 1 / (1 + np.exp(-3 * x[:, 1] + 2 * (x[:, 3] > 0)))
+    y = rng.random(4000) < chance
+    held = np.arange(4000) % 4 == 0
+    trees = pii.boost(x, y, held)
+    p = trees.probability(x)
+    assert np.corrcoef(p, chance)[0, 1] > 0.9
+    assert abs(p[held].mean() - y[held].mean()) < 0.03
+
+
+def test_method_adds_spans_and_keeps_the_base(trees):
+    text = "call +44 20 7946 0958 or write to bob@example.com today"
+    base, spans = pii.find(text, trees)
+    assert set(base) <= set(spans) and [s[0] for s in base] == ["phone", "email"]
+    base, spans = pii.find("please write to robert.smith(at)example.com about the thing", trees)
+    assert base == [] and {s[0] for s in spans} <= {"email"}
+    assert pii.find("nothing of that kind in 12 words", trees) == ([], [])
+
+
+def test_no_two_added_spans_overlap(trees):
+    rng = random.Random(3)
+    parts = ["bob", " (at) ", "@", "x.org", " 1.2.3.999 ", "4111 1111 1111 1112", "+49 30 1234567", " a ", "(212) 555-1234"]
+    for _ in range(300):
+        base, spans = pii.find("".join(rng.choices(parts, k=8)), trees)
+        added = sorted((s for s in spans if s not in base), key=lambda s: s[1])
+        assert all(a[2] <= b[1] for a, b in zip(added, added[1:]))
+        assert set(base) <= set(spans)
+
+
+def test_odd_rows(make, trees):
+    rows = [(1, None), (2, ""), (None, "a@b.co"), (3, "a@b.co"), (3, "a@b.co"), (4, "é a@b.co " * 20_000)]
+    frame = make.frame(rows, SCHEMA).withColumns({"spans": F.lit(1), "id": F.lit(2)})
+    got = sorted((tuple(r) for r in pii.personal_data(frame, trees).collect()), key=repr)
+    by_id = {r[0]: r for r in got}
+    assert len(got) == 6 and by_id[1][1:] == by_id[2][1:]
+    assert by_id[1][5] == hashlib.sha256(b"").hexdigest() and by_id[1][6] == ""
+    assert by_id[3][1] == 1 and by_id[None][1] == 1 and by_id[4][1] == 20_000
+    assert by_id[3][5] == hashlib.sha256(b"email:0:6").hexdigest()
+    assert pii.personal_data(frame.limit(0), trees).count() == 0
+    assert pii.fit(frame.limit(0)) is None
+    assert pii.personal_data(frame, None).where("id = 3").count() == 2
+
+
+def test_redaction(make):
+    frame = make.frame(
+        [("ab a@b.co cd +1 2", "email:3:9,phone:13:17"), ("x", ""), ("0123456789", "ip:2:5,card:3:7"), ("yz", "ip:0:2")],
+        "t string, s string",
+    )
+    got = [r[0] for r in frame.select(pii.redacted(F.col("t"), F.col("s"))).collect()]
+    assert got == ["ab [email] cd [phone]", "x", "01[ip]789", "[ip]"]
+
+
+def test_query_equals_the_patterns(spark):
+    from tillroll.llm.queries import op1_pii_boosting
+
+    folder = f"{TESTDATA}/sf0.01"
+    docs = dict(map(tuple, spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()))
+    got = op1_pii_boosting(spark, folder).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(docs)
+    for r in got:
+        base = brute.personal(docs[r["doc_id"]] or "")
+        assert r["base_sha256"] == hashlib.sha256(pii.joined(base).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in base) for k in pii.KINDS]
+        assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(r["spans"].split(","))

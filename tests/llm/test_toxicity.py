@@ -1,0 +1,90 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from conftest import TESTDATA
+from pyspark.sql import functions as F
+
+from tillroll.llm import toxicity
+
+BAD = ["grunk", "blarg", "snivel", "lowei"]
+
+
+def samples(n, seed):
+    rng = random.Random(seed)
+    out = []
+    for k in range(n):
+        text = [f"w{rng.randrange(300)}" for _ in range(30)]
+        toxic = k % 5 == 0
+        if toxic:
+            for word in rng.sample(BAD, rng.randint(1, 3)):
+                text[rng.randrange(30)] = word + ("xyz" if rng.random() < 0.3 and word == "lowei" else "")
+        out.append((" ".join(text).encode(), int(toxic), k))
+    return out
+
+
+@pytest.fixture(scope="module")
+def index():
+    return toxicity.build(samples(800, 1))
+
+
+def test_nearest_equal_a_full_scan(index, monkeypatch):
+    assert index.rows.size > 5
+    small = toxicity.BLOCK
+    for block in (2, small):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        own = toxicity.build(samples(800, 1))
+        for text, _, _ in samples(200, 2):
+            terms, weights = own.vector(text)
+            if not terms:
+                continue
+            found, near = own.nearest(terms, weights, 25)
+            full = np.round(own.cosines(terms, weights, 0, own.rows.size), 9)
+            order = np.argsort(-full, kind="stable")
+            many = np.cumsum(own.rows[order])
+            least = full[order[min(np.searchsorted(many, 25), order.size - 1)]]
+            assert sorted(found) == np.flatnonzero((full > 0) & (full >= least)).tolist()
+            assert near.tolist() == full[found].tolist()
+
+
+def test_scores_tell_labels_apart(index):
+    scored = [(index.score(text)[0], y) for text, y, _ in samples(300, 3)]
+    assert all(0 <= s <= 1 for s, _ in scored)
+    assert sum((s >= 0.5) == y for s, y in scored) >= 297
+    assert index.score(b"clean words that nobody minds")[0] < 0.1
+    score, evidence = index.score(b"a grunk and a blarg")
+    assert score > 0.5 and evidence and all(e % 5 == 0 for e in evidence)
+
+
+def test_odd_rows(make, index):
+    rows = [(1, None), (2, ""), (3, "Grunk!"), (3, "Grunk!"), (None, "blarg"), (4, "w1 " * 100_000)]
+    frame = make.frame(rows, "doc_id long, text string").withColumns({"score": F.lit(9), "id": F.lit("x")})
+    got = sorted(((r["id"], r["score"]) for r in toxicity.score(frame, index).collect()), key=repr)
+    by_id = dict(got)
+    assert len(got) == 6 and by_id[1] == by_id[2] == index.blank < 0.5 < by_id[3]
+    assert toxicity.score(frame.limit(0), index).count() == 0
+
+
+def test_fit_skips_what_has_no_label(make):
+    docs = make.frame([(1, "a"), (2, None), (3, "c"), (None, "d"), (3, "e")], "doc_id long, text string")
+    labels = make.frame([(1, None, 1), (2, 1, 1), (3, 1, 1), (None, 1, 1), (7, 0, 1)], "doc_id long, toxic int, quality int")
+    index = toxicity.fit(docs, labels)
+    assert index.prior == 1.0
+    empty = toxicity.fit(docs, labels.limit(0))
+    assert toxicity.score(docs, empty).agg(F.max("score")).first()[0] == 0
+
+
+def test_query_on_held_out_documents(spark):
+    from tillroll.llm.queries import op8_toxic_neighbours
+
+    folder = f"{TESTDATA}/sf0.1"
+    real = dict(map(tuple, spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic").collect()))
+    got = op8_toxic_neighbours(spark, folder).collect()
+    assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
+    assert all(r["predicted"] == (r["score"] >= 0.5) for r in got)
+    held = [(r["predicted"], real[r["doc_id"]]) for r in got if r["held_out"] and r["doc_id"] in real]
+    toxic = [p for p, y in held if y]
+    assert sum(p == y for p, y in held) / len(held) >= 0.98
+    assert sum(toxic) / len(toxic) >= 0.9

@@ -197,12 +197,13 @@ def write_ids(
 
     Documents are range-partitioned by id and encoded once, in their place; ``shard`` is
     the place of the range. Null and empty texts consist of the end id. Rows without an id
-    come first; rows that share an id are ordered by text. An empty table gives no blocks.
+    come first; rows that share an id are ordered by their texts' hashes. An empty table gives no blocks.
     """
     path = path or shared_folder(documents.sparkSession, "token-ids")
     source = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     # a third of all rows may share an id: the text's hash spreads them over ranges
-    ordered = source.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
+    order = ["id", F.xxhash64("text"), "text"]
+    ordered = source.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     blocks = map_batches(ordered, _encode(tokenizer_path, end_id, block_ids), _BLOCKS)
     blocks.write.option("compression", "zstd").parquet(path)
     return path

@@ -8,13 +8,14 @@ block, blocks are opened from the highest bound down, and the search ends when n
 reaches the k-th cosine found. Neighbours vote with their cosine; a calibration fitted on
 the examples, each scored without itself, turns votes into probabilities.
 
-Terms are whole words and words' first four and five letters, which catch compounds.
+Terms are whole words and, for what these leave unexplained, words' beginnings and their
+repeats, which catch compounds.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,23 +31,31 @@ EXAMPLES = 4000
 TERMS = 4096
 NEIGHBOURS = 25
 BLOCK = 64
-#: Chi-squared of a term and the label, from which it is a term of the index: four documents
+#: Chi-squared of a term and the label, from which it is a term of the index: six documents
 #: or more at a tenth of toxic ones.
-_LEAST_CHI = 30.0
+_LEAST_CHI = 45.0
+#: Lengths of words' beginnings, and the number of occurrences that are told apart.
+STEMS = (4, 5, 7)
+REPEATS = 3
 # ASCII characters other than letters end a word; A-Z are lowered.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower()
 
 
-def terms_of(text: bytes | None) -> Counter:
-    """Numbers of occurrences of words and of words' beginnings."""
-    counts: Counter = Counter()
-    for word, n in Counter(text.translate(_TABLE).split() if text else ()).items():
-        counts[word] += n
-        if len(word) > 4:
-            counts[word[:4] + b"*"] += n
-        if len(word) > 5:
-            counts[word[:5] + b"*"] += n
-    return counts
+def words_of(text: bytes | None) -> list[bytes]:
+    return text.translate(_TABLE).split() if text else []
+
+
+def stems_of(words: list[bytes]) -> Iterator[bytes]:
+    """Beginnings of the longer words, each as often as it occurs."""
+    for size in STEMS:
+        yield from [w[:size] + b"*" for w in words if len(w) > size]
+
+
+def repeats(counts: Mapping[bytes, int]) -> Iterator[bytes]:
+    """A term for every time that a beginning occurs, up to ``REPEATS``."""
+    for stem, n in counts.items():
+        for k in range(2, min(n, REPEATS) + 1):
+            yield b"%b%d" % (stem, k)
 
 
 @dataclass
@@ -59,6 +68,7 @@ class Index:
     """
 
     terms: dict[bytes, int]
+    stems: frozenset[bytes]
     idf: np.ndarray
     entries: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -74,11 +84,10 @@ class Index:
 
     def vector(self, text: bytes | None) -> tuple[tuple[int, ...], tuple[float, ...]]:
         """Terms and unit TF-IDF weights of a text; empty if it holds no term."""
-        words = text.translate(_TABLE).split() if text else []
-        known_terms = self.terms.__contains__
-        counts = Counter(filter(known_terms, words))
-        counts.update(filter(known_terms, [w[:4] + b"*" for w in words if len(w) > 4]))
-        counts.update(filter(known_terms, [w[:5] + b"*" for w in words if len(w) > 5]))
+        words = words_of(text)
+        counts = Counter(filter(self.terms.__contains__, words))
+        stems = Counter(filter(self.stems.__contains__, stems_of(words)))
+        counts.update(t for t in (*stems, *repeats(stems)) if t in self.terms)
         known = sorted((self.terms[t], n) for t, n in counts.items())
         if not known:
             return (), ()
@@ -146,24 +155,23 @@ class Index:
 def build(samples: list[tuple[bytes, int, object]]) -> Index:
     """An index from (text, label 0 or 1, document id)."""
     labels = np.array([y for _, y, _ in samples], float)
-    counted = [terms_of(text) for text, _, _ in samples]
-    everywhere, with_label = Counter(), Counter()
-    for counts, y in zip(counted, labels):
-        everywhere.update(counts.keys())
-        if y:
-            with_label.update(counts.keys())
-    n, p = max(1, len(samples)), float(labels.mean()) if len(samples) else 0.0
-    strength = {}
-    for term, df in everywhere.items():
-        expected = df * p
-        if with_label[term] > expected:
-            chi = (with_label[term] - expected) ** 2 / (expected * (1 - p) * (1 - df / (n + 1)) + 1e-9)
-            if chi >= _LEAST_CHI:
-                strength[term] = chi
-    chosen = sorted(strength, key=lambda t: (-strength[t], t))[:TERMS]
+    n, p = len(samples), float(labels.mean()) if len(samples) else 0.0
+    split = [words_of(text) for text, _, _ in samples]
+    whole = [set(words) for words in split]
+    chosen, frequent = _strongest(whole, labels)
+    # what words' beginnings add, in the examples that no chosen word explains
+    rest = [k for k in range(n) if not whole[k] & chosen.keys()]
+    begun = []
+    for k in rest:
+        stems = Counter(stems_of(split[k]))
+        begun.append({*stems, *repeats(stems)})
+    more, frequent_more = _strongest(begun, labels[rest])
+    terms = sorted({**chosen, **more}, key=lambda t: (-{**chosen, **more}[t], t))[:TERMS]
+    df = {**frequent, **frequent_more}
     index = Index(
-        {t: k for k, t in enumerate(chosen)},
-        np.array([np.log((1 + n) / (1 + everywhere[t])) + 1 for t in chosen]),
+        {t: k for k, t in enumerate(terms)},
+        frozenset(t[: t.index(b"*") + 1] for t in terms if b"*" in t),
+        np.array([np.log((1 + n) / (1 + df[t])) + 1 for t in terms]),
         prior=p,
     )
     groups: dict[tuple, list] = {}
@@ -180,6 +188,23 @@ def build(samples: list[tuple[bytes, int, object]]) -> Index:
     return index
 
 
+def _strongest(sets: list, labels: np.ndarray) -> tuple[dict, Counter]:
+    """Terms that go with the label by chi-squared, and the sets that hold each term."""
+    everywhere, with_label = Counter(), Counter()
+    for terms, y in zip(sets, labels):
+        everywhere.update(terms)
+        if y:
+            with_label.update(terms)
+    p, strength = float(labels.mean()) if len(sets) else 0.0, {}
+    for term, df in everywhere.items():
+        expected = df * p
+        if with_label[term] > expected:
+            chi = (with_label[term] - expected) ** 2 / (expected * (1 - p) + 1e-9)
+            if chi >= _LEAST_CHI:
+                strength[term] = chi
+    return strength, everywhere
+
+
 def _post(index: Index, groups: dict) -> None:
     ordered = sorted(groups)
     index.rows = np.array([len(groups[v]) for v in ordered], float)
