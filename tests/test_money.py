@@ -1,6 +1,7 @@
 import math
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -43,6 +44,20 @@ def test_amounts_that_are_not_whole_cents_are_kept_as_doubles(make):
     assert third["total"] == 0.3333 and third["mean"] == 0.33
 
 
+@pytest.mark.parametrize("size", [1e2, 1e4, 6e7, 1e9, 1e10, 1e12])
+@pytest.mark.parametrize("fraction", [0.001, 0.004, 0.0008, 0.00005])
+def test_fractions_of_large_amounts_are_not_rounded_away(make, size, fraction):
+    amount = size + fraction
+    row = summed(make.frame([(1, amount)] * 1000, SCHEMA)).first()
+    exact = float(Decimal(amount) * 1000)
+    assert abs(row["total"] - exact) <= 8 * math.ulp(exact)
+    assert abs(row["mean"] - round(amount, 2)) <= 2 * math.ulp(amount) + 1e-9
+
+
+def test_tiny_amounts_are_kept(make):
+    assert summed(make.frame([(1, 1e-11)] * 3, SCHEMA)).first()["total"] == pytest.approx(3e-11)
+
+
 def test_nan_and_infinity_propagate(make):
     data = [(1, float("nan")), (1, 1.0), (2, float("inf")), (2, 1.0)]
     first, second = summed(make.frame(data, SCHEMA)).collect()

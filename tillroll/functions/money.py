@@ -6,9 +6,9 @@ minor units (cents for two digits), which are added as integers. The unit count
 as two bigint halves, so that a sum over any number of rows neither overflows nor leaves
 whole-stage codegen; a decimal(14,2) cast gives the same digits but is slower.
 
-Amounts which are no whole number of minor units, NaN, infinities and amounts beyond
-9e15 units go to a third, double-valued sum, so that these columns behave as a plain
-``sum`` would.
+What an amount has beyond whole minor units, a fraction of a cent, is added as a double on
+its own, so it keeps its digits beside any sum. NaN, infinities and amounts beyond 9e15
+units go to that sum whole, where they behave as in a plain ``sum``.
 
 Amounts, counts and factors are SQL text: one parsed expression costs one call into the
 JVM, where the same expression put together from columns costs one per operator.
@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 LOW_BITS = 16
 LOW_SIZE = 1 << LOW_BITS
 EXACT_UNITS = "9e15d"
+# A double that stands for whole units, or the sum of two such, is off by two units in the
+# last place at most once it is scaled. Anything further away is a fraction of a unit.
+SLACK = "4.5e-16d"
 
 
 @dataclass(frozen=True)
@@ -44,13 +47,12 @@ class ExactSum:
     def split(self, amount: str) -> list[Column]:
         """``<name>_units`` and ``<name>_loose`` of each row, to select ahead of the sums."""
         scaled = f"(cast({amount} AS double) * {self._scale})"
-        whole = (
-            f"abs({scaled}) < {EXACT_UNITS}"
-            f" AND abs({scaled} - rint({scaled})) <= abs({scaled}) * 1e-12d + 1e-9d"
-        )
+        gap = f"({scaled} - rint({scaled}))"
+        near = f"abs({scaled}) < {EXACT_UNITS}"
+        loose = f"if(abs{gap} <= abs({scaled}) * {SLACK}, null, {gap} / {self._scale})"
         return [
-            F.expr(f"if({whole}, cast(rint({scaled}) AS bigint), null) AS {self.name}_units"),
-            F.expr(f"if({whole}, null, cast({amount} AS double)) AS {self.name}_loose"),
+            F.expr(f"if({near}, cast(rint({scaled}) AS bigint), null) AS {self.name}_units"),
+            F.expr(f"if({near}, {loose}, cast({amount} AS double)) AS {self.name}_loose"),
         ]
 
     def sums(self) -> list[Column]:
