@@ -15,28 +15,33 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv_inferred(
+    spark: SparkSession, path: str, multi_line: bool = False, escape: str = '"'
+) -> DataFrame:
     """CSV with a header and types inferred from the whole data, which costs a second pass."""
-    return _csv(spark, multi_line).option("inferSchema", True).csv(path)
+    return _csv(spark, multi_line, escape).option("inferSchema", True).csv(path)
 
 
 def read_csv_typed(
-    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    multi_line: bool = True,
+    escape: str = '"',
 ) -> DataFrame:
     """CSV with a header and a fixed schema; a value of the wrong type becomes null.
 
-    ``multi_line=True`` keeps quoted line breaks and doubled quotes inside one field.
-    ``multi_line=False`` splits a record at each line break, and lets files be split.
+    ``multi_line=True`` keeps quoted line breaks inside one field. ``multi_line=False``
+    splits a record at each line break, and lets files be split among tasks. Either way a
+    doubled quote stands for a quote; ``escape="\\\\"`` reads backslash escapes instead.
     """
-    return _csv(spark, multi_line).schema(schema).csv(path)
+    return _csv(spark, multi_line, escape).schema(schema).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _csv(spark: SparkSession, multi_line: bool):
+def _csv(spark: SparkSession, multi_line: bool, escape: str):
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if multi_line:
-        reader = reader.option("multiLine", True).option("escape", '"')
-    return reader
+    return reader.option("escape", escape).option("multiLine", multi_line)
