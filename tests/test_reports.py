@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll.operators.joins import Target
 from tillroll.plans import reports
 
 
@@ -167,7 +168,7 @@ def test_sales_equal_the_plain_join_on_messy_tables(make, seed):
 def test_consolidated_equals_the_plain_join_with_hot_orders(make, seed):
     orders, items, reviews = random_tables(make, seed)
     plain = items.join(orders, "order_id").join(reviews, "order_id", "left")
-    table = reports.consolidated(orders, items, reviews, hot_rows=8)
+    table = reports.consolidated(orders, items, reviews, target=Target(8, 20))
     assert table.columns == plain.columns
     assert Counter(table.collect()) == Counter(plain.collect())
 
@@ -215,5 +216,18 @@ def test_items_are_combined_before_the_shuffle_and_never_meet_reviews(fanout, sp
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
-    # One shuffle for items, one for reviews, two to fold and place orders.
-    assert text.count("Exchange hashpartitioning") == 4
+    # One shuffle each for items, reviews and orders.
+    assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_reports_shuffle_each_table_once(fanout, spark):
+    orders, items, _ = fanout
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for report in (reports.sales_by_status, reports.monthly_sales, reports.top_customers):
+            text = report(orders, items)._jdf.queryExecution().executedPlan().toString()
+            # two by order and one by the dimension
+            assert text.count("Exchange hashpartitioning(order_id") == 2
+            assert text.count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

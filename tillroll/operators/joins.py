@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
-
-# A key is hot when it holds more rows than one task should take, and more than this share
-# of its table. So at most 1,000 keys of a table are hot, however large the table is.
-HOT_ROWS = 1_000_000
-HOT_SHARE = 0.001
-MOST_HOT_KEYS = 1000
-SKETCH_ITEMS = 10_000
+
 SALT_SEED = 17
 
 
+class Target(NamedTuple):
+    """What one key may put into one task: rows of a side, and pairs of both sides."""
+
+    rows: int
+    pairs: int
+
+
+TARGET = Target(rows=1_000_000, pairs=20_000_000)
+
+
 def inner_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Inner join with ``key`` kept once.
 
@@ -24,15 +29,15 @@ def inner_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS
+    left: DataFrame, right: DataFrame, key: str, target: Target = TARGET
 ) -> DataFrame:
     """Left join with ``key`` kept once.
 
     Adaptive execution cannot split the right side of a left join, so hot keys are spread
-    as in :func:`left_join_with_parent`.
+    as in :func:`left_join_with_parent`; rows without a key are spread like any other.
     """
-    hot = _hot_slots(left, right, key, hot_rows)
-    if hot is None:
+    hot = hot_keys(left, right, key, target)
+    if hot.isEmpty():
         return left.join(right, key, "left")
     cell = [key, "fact_slot", "detail_slot"]
     joined = _fact_cells(left, hot, key).join(_detail_cells(right, hot, key), cell, "left")
@@ -44,21 +49,23 @@ def left_join_with_parent(
     parent: DataFrame,
     details: DataFrame,
     key: str,
-    hot_rows: int = HOT_ROWS,
+    target: Target = TARGET,
 ) -> DataFrame:
     """``facts`` inner join ``parent`` left join ``details``, all on ``key``, kept once.
 
     Without hot keys this is the plain join, which shuffles each table once. Rows of a key
-    that is hot in ``facts`` or ``details`` are dealt out over a grid of slots (fact slot x
-    detail slot) and the other tables' rows of that key are repeated along the grid, so
-    each pair meets in exactly one cell. Other keys have one cell.
+    that exceeds the target in ``facts``, in ``details`` or in their pairs are dealt out
+    over a grid of slots (fact slot x detail slot) and the other tables' rows of that key
+    are repeated along the grid, so each pair meets in exactly one cell. Other keys have
+    one cell.
 
     The slot of a row is drawn per row, not from its values, so equal copies spread too.
     Tables with hot keys should come straight from storage, where a rerun task sees the
-    same rows in the same order. Looking for hot keys runs one job per large table.
+    same rows in the same order. Looking for hot keys counts both tables' keys once.
     """
-    hot = _hot_slots(facts, details, key, hot_rows)
-    if hot is None:
+    facts = facts.where(F.col(key).isNotNull())
+    hot = hot_keys(facts, details, key, target)
+    if hot.isEmpty():
         return facts.join(parent, key).join(details, key, "left")
     parent_cells = (
         _sized(parent, hot, key)
@@ -77,49 +84,46 @@ def left_join_with_parent(
     )
 
 
-def hot_keys(frame: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict:
-    """The hot keys of a table, and the number of slots to spread each over.
+def hot_keys(
+    facts: DataFrame, details: DataFrame, key: str, target: Target = TARGET
+) -> DataFrame:
+    """The keys beyond the target, and the slots to spread each over on both sides.
 
-    One pass over the key column builds a mergeable frequent-items sketch, without a
-    shuffle by key. Its counts are estimates: they change how rows are spread, never the
-    result. Null keys match nothing and are not listed.
+    Exact counts by partial aggregation, so a hot key is one row of a task before the
+    shuffle. A cell of the grid holds at most about ``target.rows`` of a side and
+    ``target.pairs`` pairs. Null is a key like others here, though it has no pairs. The
+    list has no bound but the tables' sizes over the target; joins choose how to meet it.
     """
-    # Counting a stored table reads no column; in a small one no key can be hot.
-    if frame.count() <= hot_rows:
-        return {}
-    sketch = F.call_function("approx_top_k", F.col(key), F.lit(MOST_HOT_KEYS), F.lit(SKETCH_ITEMS))
-    found = (
-        frame.where(F.col(key).isNotNull())
-        .agg(sketch.alias("frequent"), F.count("*").alias("n_rows"))
+    counts = (
+        _counted(facts, key, "n_facts")
+        .join(_counted(details, key, "n_details"), F.col("_key").eqNullSafe(F.col("_other")), "full")
         .select(
-            F.explode("frequent").alias("entry"),
-            F.greatest(F.lit(float(hot_rows)), F.col("n_rows") * HOT_SHARE).alias("slot_rows"),
+            F.coalesce("_key", "_other").alias(key),
+            F.coalesce("n_facts", F.lit(0)).alias("n_facts"),
+            # a row without a key meets nothing
+            F.when(F.coalesce("_key", "_other").isNotNull(), F.coalesce("n_details", F.lit(0)))
+            .otherwise(0).alias("n_details"),
         )
-        .where(F.col("entry.count") > F.col("slot_rows"))
-        .select("entry.item", F.ceil(F.col("entry.count") / F.col("slot_rows")).cast("int"))
     )
-    return {item: slots for item, slots in found.collect()}
-
-
-def _hot_slots(
-    facts: DataFrame, details: DataFrame, key: str, hot_rows: int
-) -> DataFrame | None:
-    """Hot keys with their slots on both sides; at most 2 x MOST_HOT_KEYS rows."""
-    fact_slots, detail_slots = hot_keys(facts, key, hot_rows), hot_keys(details, key, hot_rows)
-    if not fact_slots and not detail_slots:
-        return None
-    rows = [
-        (item, fact_slots.get(item, 1), detail_slots.get(item, 1))
-        for item in {**fact_slots, **detail_slots}
-    ]
-    schema = StructType(
-        [
-            StructField(key, facts.schema[key].dataType),
-            StructField("fact_slots", IntegerType()),
-            StructField("detail_slots", IntegerType()),
-        ]
+    beyond = (
+        (F.col("n_facts") > target.rows)
+        | (F.col("n_details") > target.rows)
+        | (F.col("n_facts").cast("double") * F.col("n_details") > target.pairs)
     )
-    return F.broadcast(facts.sparkSession.createDataFrame(rows, schema))
+    detail_slots = F.greatest(F.lit(1), F.ceil(F.col("n_details") / target.rows))
+    in_cell = F.ceil(F.col("n_details") / detail_slots)
+    by_pairs = F.ceil(F.col("n_facts").cast("double") * in_cell / target.pairs)
+    fact_slots = F.greatest(F.lit(1), F.ceil(F.col("n_facts") / target.rows), by_pairs)
+    return counts.where(beyond).select(
+        key,
+        fact_slots.cast("int").alias("fact_slots"),
+        detail_slots.cast("int").alias("detail_slots"),
+    )
+
+
+def _counted(frame: DataFrame, key: str, name: str) -> DataFrame:
+    other = "_key" if name == "n_facts" else "_other"
+    return frame.groupBy(F.col(key).alias(other)).agg(F.count("*").alias(name))
 
 
 def _fact_cells(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
@@ -133,7 +137,7 @@ def _fact_cells(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
 
 def _detail_cells(details: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return (
-        _sized(details, hot, key)
+        _sized(details.where(F.col(key).isNotNull()), hot, key)
         .withColumn("detail_slot", _drawn("detail_slots"))
         .withColumn("fact_slot", _every("fact_slots"))
         .drop("fact_slots", "detail_slots")
@@ -151,11 +155,20 @@ def _without_empty_cells(joined: DataFrame) -> DataFrame:
 
 
 def _sized(frame: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    return frame.join(hot, key, "left").withColumns(
-        {
-            "fact_slots": F.coalesce("fact_slots", F.lit(1)),
-            "detail_slots": F.coalesce("detail_slots", F.lit(1)),
-        }
+    """The frame with its keys' slots; the key's rows are where they were, unsorted by it.
+
+    The list is joined without a hint: adaptive execution broadcasts it when it is small.
+    """
+    named = hot.withColumnRenamed(key, "_hot")
+    return (
+        frame.join(named, F.col(key).eqNullSafe(F.col("_hot")), "left")
+        .drop("_hot")
+        .withColumns(
+            {
+                "fact_slots": F.coalesce("fact_slots", F.lit(1)),
+                "detail_slots": F.coalesce("detail_slots", F.lit(1)),
+            }
+        )
     )
 
 

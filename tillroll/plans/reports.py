@@ -1,10 +1,11 @@
 """Business reports over orders, items and reviews.
 
-Reports that join start by folding each side to one row per order. Partial aggregation
-combines the rows of a hot order before they are shuffled, the join then meets one row
-per side, and no item meets a review: what the join would have repeated is multiplied
-instead. Orders that occur more than once are folded the same way and keep a ``copies``
-count, so results equal those of the plain join for any input.
+Reports that join start by folding items and reviews to one row per order. Partial
+aggregation combines the rows of a hot order before they are shuffled, and no item meets a
+review: what the join would have repeated is multiplied instead. Orders meet these rows in
+place and are folded after the join, where those that occur more than once leave a
+``copies`` count; so each table is shuffled once, and results equal those of the plain join
+for any input.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import month_of, percent_of
 from tillroll.functions.money import ExactSum
-from tillroll.operators.joins import HOT_ROWS, left_join_with_parent
+from tillroll.operators.joins import TARGET, Target, left_join_with_parent
 from tillroll.operators.ranking import top_k
 
 AMOUNT = ExactSum("amount")
@@ -111,14 +112,22 @@ def order_metrics_no_fanout(
 
 
 def consolidated(
-    orders: DataFrame, items: DataFrame, reviews: DataFrame, hot_rows: int = HOT_ROWS
+    orders: DataFrame, items: DataFrame, reviews: DataFrame, target: Target = TARGET
 ) -> DataFrame:
     """Every item with its order and, where there are any, each of the order's reviews."""
-    return left_join_with_parent(items, orders, reviews, "order_id", hot_rows)
+    return left_join_with_parent(items, orders, reviews, "order_id", target)
 
 
-def _folded_orders(orders: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return orders.groupBy("order_id", *columns).agg(F.count("*").alias("copies"))
+def _folded(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per order and ``columns``, with the number of ``copies`` it had.
+
+    The other columns depend on the order alone. Rows are in place after a join by order,
+    so that no further shuffle is needed.
+    """
+    rest = [name for name in joined.columns if name not in ("order_id", *columns)]
+    return joined.groupBy("order_id", *columns).agg(
+        F.count("*").alias("copies"), *(F.first(name).alias(name) for name in rest)
+    )
 
 
 def _sales_per(orders: DataFrame, items: DataFrame, dimension: str, amount: str) -> DataFrame:
@@ -130,8 +139,7 @@ def _sales_per(orders: DataFrame, items: DataFrame, dimension: str, amount: str)
     )
     # Each order and dimension value is left once, so rows count distinct orders.
     return (
-        _folded_orders(orders, [dimension])
-        .join(per_order, "order_id")
+        _folded(orders.select("order_id", dimension).join(per_order, "order_id"), [dimension])
         .groupBy(dimension)
         .agg(
             F.count("*").alias("n_orders"),
@@ -160,17 +168,18 @@ def _order_metrics(
     scores = reviews.groupBy("order_id").agg(
         F.count("*").alias("n_reviews"), F.avg("review_score").alias("avg_score")
     )
-    return (
-        _folded_orders(orders, ["customer_id", "order_status"])
+    columns = ["customer_id", "order_status"]
+    joined = (
+        orders.select("order_id", *columns)
         .join(per_order, "order_id")
         .join(scores, "order_id", "left")
-        .select(
-            "order_id",
-            "customer_id",
-            "order_status",
-            PRICE.total(times).alias("spend_total"),
-            FREIGHT.total(times).alias("freight_total"),
-            F.expr(f"cast(n_items * ({times}) AS double) AS item_count"),
-            "avg_score",
-        )
+    )
+    return _folded(joined, columns).select(
+        "order_id",
+        "customer_id",
+        "order_status",
+        PRICE.total(times).alias("spend_total"),
+        FREIGHT.total(times).alias("freight_total"),
+        F.expr(f"cast(n_items * ({times}) AS double) AS item_count"),
+        "avg_score",
     )
