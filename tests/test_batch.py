@@ -16,6 +16,9 @@ def paths(spark, tmp_path_factory):
     tables["reviews"] = tables["reviews"].withColumn(
         "review_comment_message", F.lit('one "two",\nthree')
     )
+    quoted = F.lit('say "so", and\\')
+    tables["orders"] = tables["orders"].withColumn("order_estimated_delivery_date", quoted)
+    tables["items"] = tables["items"].withColumn("seller_id", quoted)
     paths = {}
     for name, schema in batch.INPUTS.items():
         wanted = [line.split()[0] for line in schema.split(",")]
@@ -42,6 +45,10 @@ def test_landed_tables_hold_every_record(spark, output):
     assert counts == {"orders": 1500, "items": 6000, "reviews": 1000}
     messages = spark.read.parquet(f"{output}/reviews").select("review_comment_message")
     assert messages.distinct().collect() == [('one "two",\nthree',)]
+    for name, column in (("orders", "order_estimated_delivery_date"), ("items", "seller_id")):
+        texts = spark.read.parquet(f"{output}/{name}").select(column).distinct().collect()
+        assert texts == [('say "so", and\\',)]
+    assert spark.read.parquet(f"{output}/items").where("price IS NULL").count() == 0
 
 
 def test_reports_agree_with_direct_reads(spark, output):
@@ -67,7 +74,7 @@ def test_learning_results_are_complete(spark, output):
 def test_bucketed_tables_give_the_same_reports_without_shuffling_orders(
     spark, paths, output, tmp_path, rows
 ):
-    tables = batch.land(spark, paths, str(tmp_path), buckets=4)
+    tables = batch.land(spark, paths, str(tmp_path), buckets=4, names="first_{}")
     orders, items, reviews = tables["orders"], tables["items"], tables["reviews"]
     metrics = reports.order_metrics(orders, items, reviews)
     assert rows(metrics) == rows(spark.read.parquet(f"{output}/order_metrics"))
@@ -84,7 +91,16 @@ def test_bucketed_tables_give_the_same_reports_without_shuffling_orders(
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_hot_orders_are_not_bucketed(spark, paths, tmp_path):
-    tables = batch.land(spark, paths, str(tmp_path), buckets=4, hot_rows=5)
-    plan = tables["items"]._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" not in plan and "SelectedBucketsCount" not in plan
+def test_hot_orders_are_refused(spark, paths, tmp_path):
+    with pytest.raises(ValueError, match="one order fills"):
+        batch.land(spark, paths, str(tmp_path), buckets=4, bucket_rows=5)
+
+
+def test_foreign_tables_are_not_replaced(spark, paths, tmp_path, make):
+    make.frame([(1,)], "x int").write.saveAsTable("other_items")
+    with pytest.raises(ValueError, match="exists at another place"):
+        batch.land(spark, paths, str(tmp_path / "a"), buckets=2, names="other_{}")
+    assert spark.table("other_items").columns == ["x"]
+    for _ in range(2):  # its own tables are replaced
+        tables = batch.land(spark, paths, str(tmp_path / "b"), buckets=2, names="named_{}")
+    assert spark.table("named_items").count() == tables["items"].count() == 6000

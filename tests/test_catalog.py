@@ -7,15 +7,16 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import TESTDATA
+from tillroll.plans.catalog import QUERIES
+from tillroll.plans.oracles import ORACLES
 
 FOLDER = f"{TESTDATA}/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER"}
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER",
+         "boolean": "BOOLEAN"}
 ORDERED = ["sales_by_status", "top_products", "score_distribution", "top_customers",
            "monthly_sales", "top_items_by_price", "top_orders", "profile_by_status"]
 
@@ -35,6 +36,8 @@ def in_name_order(columns, rows):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

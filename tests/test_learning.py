@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -209,21 +208,37 @@ def test_features_are_released_after_fitting(make, spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
-def test_given_centers_assign_like_the_fitted_model(make):
-    frame = metrics(make, 300).withColumn(
-        "scaled_features", array_to_vector(F.array("spend_total", "freight_total"))
-    )
-    model = KMeans(featuresCol="scaled_features", k=4, seed=1).fit(frame)
-    assigned = clustering.assign_to_centers(
-        model.transform(frame), ["spend_total", "freight_total"], model.clusterCenters(), "nearest"
+def test_a_model_of_given_points_has_them_as_centers(make):
+    points = [(5.0, 1.0), (1.0, 2.0), (9.0, 3.0)]
+    frame = make.frame(points, "x double, y double").withColumn(
+        "scaled_features", array_to_vector(F.array("x", "y"))
     )
-    assert assigned.where("nearest <> prediction").count() == 0
+    model = clustering.fit_kmeans(frame, 3)
+    assert sorted(map(tuple, model.clusterCenters())) == sorted(points)
+    assigned = clustering.assign_clusters(model, frame).orderBy("x").collect()
+    assert [row["prediction"] for row in assigned] == [0, 1, 2]
+
+
+def test_segments_do_not_depend_on_the_number_of_rows(make):
+    few, many = metrics(make, 40), metrics(make, 400)
+    for frame in (few, many):
+        placed = clustering.placed_by_key(frame, "order_id")
+        assert placed.rdd.getNumPartitions() == clustering.PARTITIONS > 1
+
+
+def test_rows_without_a_key_are_on_one_side(make):
+    frame = make.frame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "key string, x int")
+    train, test = features.split_by_key(frame, "key")
+    assert train.count() + test.count() == 4
+    assert train.where("key IS NULL").count() == 2
 
 
-def test_equal_distance_takes_the_first_center(make):
-    frame = make.frame([(0.0,)], "x double")
-    assigned = clustering.assign_to_centers(frame, ["x"], [(1.0,), (-1.0,)])
-    assert assigned.first()["prediction"] == 0
+def test_profile_means_are_free_of_row_order(make):
+    data = [(f"o{i}", "c", "s", 1.0, 1.0, float(1 + i % 2), [4.0, 4.01][i % 2]) for i in range(1000)]
+    for seed in range(3):
+        random.Random(seed).shuffle(data)
+        row = clustering.cluster_profile(make.frame(data, METRICS), "order_status").first()
+        assert (row["avg_items"], row["avg_score"]) == (1.5, 4.01)  # 4.005 rounds up
 
 
 def test_best_k_takes_the_smallest_among_equals():

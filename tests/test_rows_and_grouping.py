@@ -96,10 +96,10 @@ def test_counts_and_schemas(make, rows):
 
 def test_describe_and_explain(make):
     items = make.items(ITEMS)
-    described = inspection.describe_view(items, "described_items").collect()
+    described = inspection.describe_view(items).collect()
     assert [(row["col_name"], row["data_type"]) for row in described] == items.dtypes
     sums = grouping.sum_per_key(items, "order_id", "price", "total")
-    plan = inspection.explain_view(sums, "explained_sums").first()["plan"]
+    plan = inspection.explain_view(sums).first()["plan"]
     for title in ("Parsed", "Analyzed", "Optimized", "Physical"):
         assert f"== {title}" in plan
     assert plan.count("HashAggregate") == 2 and "Exchange hashpartitioning(order_id" in plan

@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+import time
+
 import pytest
 
 from tillroll.sources import readers, schemas, sinks
@@ -34,6 +39,15 @@ def test_typed_csv_keeps_quotes_and_line_breaks(spark, csv_file, rows):
     ]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_quotes_do_not_depend_on_line_breaks(spark, make, tmp_path, rows, multi_line):
+    data = [("o1", 1, 'p "x", y', "s\\", "d", 1.0, 2.0), ("o2", 2, '""', ",", "\\\"", 3.0, None)]
+    frame = make.frame(data, schemas.ITEMS)
+    path = sinks.write_csv(frame, str(tmp_path / "csv"))
+    back = readers.read_csv_typed(spark, path, schemas.ITEMS, multi_line=multi_line)
+    assert rows(back) == sorted(data, key=repr)
+
+
 def test_typed_csv_by_line_splits_records(spark, csv_file):
     frame = readers.read_csv_typed(spark, csv_file, schemas.REVIEWS, multi_line=False)
     assert frame.count() == 4
@@ -96,6 +110,40 @@ def test_persisted_frames_are_released(make):
     assert not frame.storageLevel.useMemory
 
 
+SCRATCH = """
+import sys
+from pyspark.sql import SparkSession
+from tillroll.plans.catalog import QUERIES
+from tillroll.sources.session import release_scratch, shared_folder
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2")
+         .config("spark.checkpoint.dir", sys.argv[1]).getOrCreate())
+before = spark.sparkContext.getCheckpointDir()
+spark.range(3).write.parquet(shared_folder(spark, "x"))
+import glob
+assert len(glob.glob(sys.argv[1] + "/tillroll-*/x-*")) == 1
+release_scratch(spark)
+assert glob.glob(sys.argv[1] + "/tillroll-*/*") == []
+for name in ("ml_status_index", "eval_majority_share"):
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+assert len(glob.glob(sys.argv[1] + "/tillroll-*/order-metrics-*")) == 1
+assert spark.sparkContext.getCheckpointDir() == before
+"""
+
+
+def test_scratch_is_written_once_and_gone_afterwards(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run(
+        [sys.executable, "-c", SCRATCH, str(tmp_path)], cwd=root, check=True, timeout=300,
+        env={k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK", "SPARK"))},
+    )
+    for _ in range(60):  # the JVM ends a little after Python
+        if not list(tmp_path.glob("tillroll-*")):
+            break
+        time.sleep(0.5)
+    assert list(tmp_path.glob("tillroll-*")) == []
+
+
 def test_shared_folder_follows_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")

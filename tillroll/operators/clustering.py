@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import ExactSum
@@ -19,19 +18,18 @@ K_RANGE = range(2, 7)
 SEED = 42
 MAX_ITERATIONS = 20
 
-PLACED_ROWS = 250_000
+# Partitions of the placed rows, whatever their number; part of the result, so choose it
+# once for a corpus, by the memory and cores that are to hold it.
+PARTITIONS = 8
 
 
-def placed_by_key(frame: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+def placed_by_key(frame: DataFrame, key: str, partitions: int = PARTITIONS) -> DataFrame:
     """Puts rows into an order that depends on the key alone.
 
     K-means draws its first centres per partition, so its result follows the placement of
-    the rows even with a seed. The number of partitions defaults to one per
-    ``PLACED_ROWS`` rows, so it too depends on the data and not on the session; ``key``
-    should be unique, or nearly so.
+    the rows even with a seed. The number of partitions is fixed, so it depends neither on
+    the session nor on the number of rows; ``key`` should be unique, or nearly so.
     """
-    if partitions is None:
-        partitions = max(1, math.ceil(frame.count() / PLACED_ROWS))
     return frame.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -92,23 +90,24 @@ def cluster_centers(spark: SparkSession, model: KMeansModel, names: Sequence[str
     return spark.createDataFrame(rows, schema)
 
 
-def assign_to_centers(
-    frame: DataFrame,
-    columns: Sequence[str],
-    centers: Sequence[Sequence[float]],
-    name: str = "prediction",
-) -> DataFrame:
-    """Number of the nearest given centre, the first among equals, as a plain expression."""
-    distances = F.array(*(_squared_distance(columns, center) for center in centers))
-    nearest = F.array_position(distances, F.array_min(distances)) - 1
-    return frame.withColumn(name, nearest.cast("int"))
+# Scores are ratios, so they are added in billionths: the sum is free of row order.
+_SCORE_SUM = "sum(cast(rint(avg_score * 1e9d) AS decimal(20, 0))) AS score_units"
+_SCORE_MEAN = (
+    "cast((2 * score_units + cast(n_scores AS decimal(20, 0)) * 10000000)"
+    " div (2 * cast(n_scores AS decimal(20, 0)) * 10000000) AS double) / 100"
+)
 
 
 def cluster_profile(clustered: DataFrame, cluster: str = "prediction") -> DataFrame:
     """Size of each cluster of orders and its mean spend, freight, items and score."""
-    spend, freight = ExactSum("spend"), ExactSum("freight")
+    spend, freight, items = ExactSum("spend"), ExactSum("freight"), ExactSum("items")
     return (
-        clustered.select("*", *spend.split("spend_total"), *freight.split("freight_total"))
+        clustered.select(
+            "*",
+            *spend.split("spend_total"),
+            *freight.split("freight_total"),
+            *items.split("item_count"),
+        )
         .groupBy(cluster)
         .agg(
             F.count("*").alias("n_orders"),
@@ -116,24 +115,18 @@ def cluster_profile(clustered: DataFrame, cluster: str = "prediction") -> DataFr
             *spend.sums(),
             F.count("freight_total").alias("n_freight"),
             *freight.sums(),
-            F.round(F.avg("item_count"), 2).alias("avg_items"),
-            F.round(F.avg("avg_score"), 2).alias("avg_score"),
+            F.count("item_count").alias("n_items"),
+            *items.sums(),
+            F.count("avg_score").alias("n_scores"),
+            F.expr(_SCORE_SUM),
         )
         .select(
             cluster,
             "n_orders",
             spend.mean("n_spend").alias("avg_spend"),
             freight.mean("n_freight").alias("avg_freight"),
-            "avg_items",
-            "avg_score",
+            items.mean("n_items").alias("avg_items"),
+            F.expr(_SCORE_MEAN).alias("avg_score"),
         )
         .orderBy(cluster)
     )
-
-
-def _squared_distance(columns: Sequence[str], center: Sequence[float]) -> Column:
-    total = F.lit(0.0)
-    for column, value in zip(columns, center):
-        gap = F.col(column) - F.lit(float(value))
-        total = total + gap * gap
-    return total

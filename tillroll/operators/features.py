@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import key_bucket
 
 STATUS_INDEX = "status_index"
+# The feature columns that results are compared on.
 NUMERIC_FEATURES = ["spend_total", "freight_total", "item_count"]
 FEATURE_NAMES = [*NUMERIC_FEATURES, STATUS_INDEX]
 SCALED = "scaled_features"
@@ -39,9 +40,9 @@ def feature_stages(
     ]
 
 
-def scaled_features(frame: DataFrame) -> DataFrame:
+def scaled_features(frame: DataFrame, columns: Sequence[str] = FEATURE_NAMES) -> DataFrame:
     """Fits the feature stages on the frame and adds their columns to it."""
-    return Pipeline(stages=feature_stages()).fit(frame).transform(frame)
+    return Pipeline(stages=feature_stages(columns)).fit(frame).transform(frame)
 
 
 def vector_columns(frame: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:
@@ -51,15 +52,21 @@ def vector_columns(frame: DataFrame, vector: str, names: Sequence[str]) -> DataF
     return frame.select(*rest, *(values[i].alias(name) for i, name in enumerate(names)))
 
 
-def split_by_key(
-    frame: DataFrame, key: str | Column, train_share: float = 0.8, buckets: int = 10
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key.
+def on_train_side(key: str | Column, train_share: float = 0.8, buckets: int = 10) -> Column:
+    """Whether a row belongs to the training side: by a hash of its key, and never null.
 
     A row keeps its side whatever the partitioning of the frame, the cluster or a rerun.
+    Rows without a key are trained on.
     """
     key = F.col(key) if isinstance(key, str) else key
-    in_train = key_bucket(key, buckets) < round(train_share * buckets)
+    return F.coalesce(key_bucket(key, buckets) < round(train_share * buckets), F.lit(True))
+
+
+def split_by_key(
+    frame: DataFrame, key: str | Column, train_share: float = 0.8, buckets: int = 10
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows by :func:`on_train_side`; each row is on one of the sides."""
+    in_train = on_train_side(key, train_share, buckets)
     return frame.where(in_train), frame.where(~in_train)
 
 

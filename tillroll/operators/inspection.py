@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -33,13 +34,23 @@ def table_schemas(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def describe_view(frame: DataFrame, view: str) -> DataFrame:
-    """``DESCRIBE`` of the frame registered as ``view``: col_name, data_type, comment."""
-    frame.createOrReplaceTempView(view)
-    return frame.sparkSession.sql(f"DESCRIBE {view}")
+def describe_view(frame: DataFrame) -> DataFrame:
+    """``DESCRIBE`` of the frame as a view: col_name, data_type, comment."""
+    return _about(frame, "DESCRIBE {}")
 
 
-def explain_view(frame: DataFrame, view: str) -> DataFrame:
+def explain_view(frame: DataFrame) -> DataFrame:
     """The parsed, analysed, optimised and physical plan in one ``plan`` column."""
+    return _about(frame, "EXPLAIN EXTENDED SELECT * FROM {}")
+
+
+def _about(frame: DataFrame, statement: str) -> DataFrame:
+    """The answer to a statement about the frame, whose view is gone afterwards."""
+    spark, view = frame.sparkSession, f"tillroll_{uuid.uuid4().hex}"
     frame.createOrReplaceTempView(view)
-    return frame.sparkSession.sql(f"EXPLAIN EXTENDED SELECT * FROM {view}")
+    try:
+        # these statements are answered at once
+        answer = spark.sql(statement.format(view))
+        return spark.createDataFrame(answer.collect(), answer.schema)
+    finally:
+        spark.catalog.dropTempView(view)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.operators import grouping, ranking
-from tillroll.operators.joins import HOT_ROWS, hot_keys
+from tillroll.operators.joins import TARGET
 from tillroll.plans import reports, satisfaction, segments
 from tillroll.sources import readers, schemas, sinks
 
@@ -19,13 +20,15 @@ def land(
     paths: dict[str, str],
     output: str,
     buckets: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    names: str = "{}_by_order",
+    bucket_rows: int = TARGET.rows,
 ) -> dict[str, DataFrame]:
     """Converts the CSV inputs to Parquet once; every later step reads columns from there.
 
     With ``buckets`` the tables are also shuffled by order once, here, and no report
-    shuffles items, orders or reviews again. That is skipped if any table has a hot order,
-    which would fill one bucket; the reports then spread it themselves.
+    shuffles items, orders or reviews again. They are saved under ``names``, which may give
+    a database. An order with more than ``bucket_rows`` rows in a table would fill one
+    bucket, so it is refused with an error; rows without an order are the same.
     """
     landed = {}
     for name, schema in INPUTS.items():
@@ -33,11 +36,17 @@ def land(
         table = readers.read_csv_typed(spark, paths[name], schema, multi_line=name == "reviews")
         path = sinks.write_parquet(table, f"{output}/{name}")
         landed[name] = readers.read_parquet(spark, path)
-    if buckets is None or any(hot_keys(table, KEY, hot_rows) for table in landed.values()):
+    if buckets is None:
         return landed
+    for name, table in landed.items():
+        largest = table.groupBy(KEY).count().agg(F.max("count")).first()[0] or 0
+        if largest > bucket_rows:
+            raise ValueError(
+                f"one order fills {largest} rows of {name}; run without buckets to spread it"
+            )
     return {
         name: sinks.write_bucketed(
-            table, f"{name}_by_order", f"{output}/{name}_by_order", KEY, buckets
+            table, names.format(name), f"{output}/{name}_by_order", KEY, buckets
         )
         for name, table in landed.items()
     }
@@ -95,10 +104,11 @@ def run(
     reviews: str,
     output: str,
     buckets: int | None = None,
+    names: str = "{}_by_order",
 ) -> DataFrame:
     """All stages; ``output`` is a folder that every node of the cluster can reach."""
     paths = {"orders": orders, "items": items, "reviews": reviews}
-    run_reports(land(spark, paths, output, buckets), output)
+    run_reports(land(spark, paths, output, buckets, names), output)
     summary = run_learning(spark, output)
     sinks.write_parquet(summary, f"{output}/summary")
     return summary

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from tillroll.operators import clustering, evaluation, features, grouping, inspe
 from tillroll.operators import ranking, rows
 from tillroll.plans import reports, satisfaction, segments
 from tillroll.sources import readers, schemas, sinks
-from tillroll.sources.session import persisted, register_views, shared_folder
+from tillroll.sources.session import exists, file_stamp, register_views, shared_folder
 from tillroll.sources.warehouse import items_view, orders_view, retail_tables, reviews_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,9 @@ PREMIUM_PRICE = 50_000
 # Stand-ins for fitted centres and rules, so that assignment and scores can be checked in SQL.
 FIXED_CENTERS = [(50_000.0, 20.0, 1.0), (150_000.0, 75.0, 3.0), (300_000.0, 150.0, 6.0)]
 RULE_ITEMS = 4
+# Few enough rows and pairs that the test tables have orders beyond them.
+SMALL_TARGET = joins.Target(rows=4, pairs=6)
+PLANTED_STEPS = [1e9, 1e6, 1e4]
 SCALED_NAMES = ["z_spend", "z_freight", "z_items", "z_status"]
 
 
@@ -48,8 +52,9 @@ def scan_csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scan_csv_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """Items hold no line breaks, so their files can be split."""
     path = sinks.write_csv(items_view(spark, folder), shared_folder(spark, "items-csv"))
-    return readers.read_csv_typed(spark, path, schemas.ITEMS)
+    return readers.read_csv_typed(spark, path, schemas.ITEMS, multi_line=False)
 
 
 def scan_csv_free_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,6 +91,15 @@ def sink_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.sink_manifest(spark, path)
 
 
+def sink_manifest_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the manifest's files, and whether all have the right names and some bytes."""
+    return sink_manifest(spark, folder).agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.every(F.col("file_name").endswith(".parquet")).alias("all_parquet"),
+        F.every(F.col("file_bytes") > 0).alias("all_with_bytes"),
+    )
+
+
 def sink_row_count(spark: SparkSession, folder: str) -> DataFrame:
     return sink_manifest(spark, folder).agg(F.sum("n_rows").alias("n_rows"))
 
@@ -163,6 +177,11 @@ def consolidated(spark: SparkSession, folder: str) -> DataFrame:
     return reports.consolidated(**retail_tables(spark, folder))
 
 
+def consolidated_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """The consolidated table with a target so small that many orders are spread."""
+    return reports.consolidated(**retail_tables(spark, folder), target=SMALL_TARGET)
+
+
 # Aggregations and ordered heads
 
 
@@ -236,12 +255,26 @@ def order_metrics_no_fanout(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    path = sinks.write_parquet(
-        order_metrics(spark, folder), shared_folder(spark, "order-metrics")
-    )
+    """Order metrics from storage, written once for the tables of a folder in a session.
+
+    They are written again if a table's files have changed.
+    """
+    metrics = order_metrics(spark, folder)
+    source = (spark.sparkContext.applicationId, folder, _stamps(spark, metrics.inputFiles()))
+    path = _WRITTEN.get(source)
+    if path is None or not exists(spark, path):
+        path = sinks.write_parquet(metrics, shared_folder(spark, "order-metrics"))
+        _WRITTEN[source] = path
     return readers.read_parquet(spark, path)
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _stamps(spark: SparkSession, files: list[str]) -> tuple:
+    return tuple(sorted((file, *file_stamp(spark, file)) for file in files))
+
+
 def clean_order_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return satisfaction.clean_metrics(order_metrics(spark, folder))
 
@@ -258,8 +291,10 @@ def label_distribution(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_counts(spark: SparkSession, folder: str) -> DataFrame:
     labelled = satisfaction.labelled_metrics(order_metrics(spark, folder))
-    train, test = features.split_by_key(labelled, "order_id")
-    return grouping.table_counts({"train": train, "test": test})
+    side = F.when(features.on_train_side("order_id"), "train").otherwise("test")
+    return grouping.count_per_key(
+        labelled.select(side.alias("table_name")), "table_name", name="n_rows"
+    )
 
 
 def ml_status_index(spark: SparkSession, folder: str) -> DataFrame:
@@ -310,9 +345,13 @@ def eval_silhouette_fixed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kmeans_assign_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    clean = satisfaction.clean_metrics(order_metrics(spark, folder))
-    assigned = clustering.assign_to_centers(clean, features.NUMERIC_FEATURES, FIXED_CENTERS)
-    return assigned.select("order_id", "prediction")
+    """Orders assigned by a model fitted to the fixed centres themselves."""
+    schema = ", ".join(f"{name} double" for name in features.NUMERIC_FEATURES)
+    assemble = VectorAssembler(inputCols=features.NUMERIC_FEATURES, outputCol=features.SCALED)
+    centers = assemble.transform(spark.createDataFrame(FIXED_CENTERS, schema))
+    model = clustering.fit_kmeans(centers, len(FIXED_CENTERS))
+    clean = assemble.transform(satisfaction.clean_metrics(order_metrics(spark, folder)))
+    return clustering.assign_clusters(model, clean).select("order_id", "prediction")
 
 
 def profile_by_status(spark: SparkSession, folder: str) -> DataFrame:
@@ -350,6 +389,71 @@ def fit_segments(spark: SparkSession, folder: str) -> segments.Segmentation:
     return segments.fit_segments(satisfaction.clean_metrics(stored_metrics(spark, folder)))
 
 
+def lr_gradient(spark: SparkSession, folder: str) -> DataFrame:
+    """The slopes at the fitted weights to three digits: all zero at the minimum."""
+    return fit_satisfaction(spark, folder).gradient().select(
+        "position", "feature", (F.round("slope", 3) + F.lit(0.0)).alias("slope"), "n_train"
+    )
+
+
+def lr_report_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The prediction report without the model's own column."""
+    return fit_satisfaction(spark, folder).prediction_report().drop("prediction")
+
+
+def lr_test_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of the test side, and the share of its majority label from the run's metrics."""
+    run = fit_satisfaction(spark, folder)
+    share = F.lit(round(run.metrics()["majority_share"], 6))
+    return run.test.agg(F.count("*").alias("n_test")).select("n_test", share.alias("majority_share"))
+
+
+# Planted groups: metrics moved far apart by the order's number, so that the fitted
+# clustering has a known answer over whole tables.
+
+
+def planted_segments(spark: SparkSession, folder: str) -> segments.Segmentation:
+    clean = satisfaction.clean_metrics(stored_metrics(spark, folder))
+    moved = {
+        name: F.col(name) + F.pmod(F.col("order_id"), F.lit(3)) * F.lit(step)
+        for name, step in zip(features.NUMERIC_FEATURES, PLANTED_STEPS)
+    }
+    return segments.fit_segments(clean.withColumns(moved), columns=features.NUMERIC_FEATURES)
+
+
+def kmeans_planted_best_k(spark: SparkSession, folder: str) -> DataFrame:
+    silhouettes = planted_segments(spark, folder).silhouettes(spark)
+    return segments.best_of(silhouettes).select("k", F.round("silhouette", 5).alias("silhouette"))
+
+
+def kmeans_planted_assignments(spark: SparkSession, folder: str) -> DataFrame:
+    return planted_segments(spark, folder).assignments().select("order_id", "prediction")
+
+
+def kmeans_planted_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return planted_segments(spark, folder).profile()
+
+
+def kmeans_planted_centers(spark: SparkSession, folder: str) -> DataFrame:
+    centers = planted_segments(spark, folder).centers(spark)
+    return centers.select(
+        "prediction", *(F.round(name, 5).alias(name) for name in features.NUMERIC_FEATURES)
+    )
+
+
+def ml_summary_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the run summary is one row of values in range, its clusters as many as its k."""
+    summary = ml_summary(spark, folder)
+    share = lambda name: F.col(name).between(0, 1)
+    return summary.agg(
+        F.count("*").alias("n_rows"),
+        F.every(share("auc") & share("accuracy")).alias("scores_in_range"),
+        F.every(F.col("best_k").isin(list(clustering.K_RANGE))).alias("k_in_range"),
+        F.every(F.col("silhouette").between(-1, 1)).alias("silhouette_in_range"),
+        F.every(F.col("n_clusters") == F.col("best_k")).alias("clusters_as_k"),
+    )
+
+
 def kmeans_silhouette_by_k(spark: SparkSession, folder: str) -> DataFrame:
     return fit_segments(spark, folder).silhouettes(spark)
 
@@ -397,6 +501,7 @@ QUERIES: dict[str, Query] = {
         parquet_roundtrip,
         parquet_roundtrip_consolidated,
         sink_manifest,
+        sink_manifest_check,
         sink_row_count,
         sql_sales_by_status,
         table_counts,
@@ -410,6 +515,7 @@ QUERIES: dict[str, Query] = {
         join_inner,
         join_left,
         consolidated,
+        consolidated_spread,
         product_counts,
         order_sales,
         price_stats,
@@ -441,11 +547,19 @@ QUERIES: dict[str, Query] = {
         lr_predictions,
         lr_prediction_sample,
         lr_metrics,
+        lr_gradient,
+        lr_report_rows,
+        lr_test_share,
+        kmeans_planted_best_k,
+        kmeans_planted_assignments,
+        kmeans_planted_profile,
+        kmeans_planted_centers,
         kmeans_silhouette_by_k,
         kmeans_best_k,
         kmeans_assignments,
         cluster_profile,
         kmeans_centers,
         ml_summary,
+        ml_summary_check,
     )
 }

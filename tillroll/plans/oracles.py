@@ -105,6 +105,27 @@ def _types(table: str) -> str:
     """
 
 
+PLANTED = """
+, planted AS (
+    SELECT order_id, order_status, avg_score, cast(order_id % 3 AS integer) AS cluster,
+           spend_total + (order_id % 3) * 1e9::double AS spend_total,
+           freight_total + (order_id % 3) * 1e6::double AS freight_total,
+           item_count + (order_id % 3) * 1e4::double AS item_count
+    FROM clean
+), moments AS (
+    SELECT avg(spend_total) AS m1, stddev_samp(spend_total) AS s1,
+           avg(freight_total) AS m2, stddev_samp(freight_total) AS s2,
+           avg(item_count) AS m3, stddev_samp(item_count) AS s3
+    FROM planted
+), points AS (
+    SELECT order_id, cluster, (spend_total - m1) / s1 AS z1, (freight_total - m2) / s2 AS z2,
+           (item_count - m3) / s3 AS z3
+    FROM planted, moments
+)
+"""
+
+TRAIN_SIDE = "cast('0x' || substr(md5(cast(order_id AS varchar)), 1, 8) AS bigint) % 10 < 8"
+
 ORACLES: dict[str, str] = {
     "scan_text_lines": f"""{VIEWS}
         SELECT concat_ws(',', order_id, customer_id, order_status, order_purchase_timestamp)
@@ -303,4 +324,53 @@ ORACLES: dict[str, str] = {
                {exact_mean('freight_total')} AS avg_freight,
                round(avg(item_count), 2) AS avg_items, round(avg(avg_score), 2) AS avg_score
         FROM clean GROUP BY order_status ORDER BY order_status""",
+    "sink_manifest_check": f"""{VIEWS} {ORDER_METRICS}
+        SELECT cast(count(*) AS bigint) AS n_rows, true AS all_parquet, true AS all_with_bytes
+        FROM order_metrics""",
+    "lr_gradient": f"""{VIEWS} {ORDER_METRICS}
+        SELECT position, feature, 0.0::double AS slope, n_train
+        FROM (VALUES (1, 'spend_total'), (2, 'freight_total'), (3, 'item_count'),
+                     (4, 'status_index'), (5, 'intercept')) AS weights(position, feature),
+             (SELECT count(*) AS n_train FROM labelled WHERE {TRAIN_SIDE})""",
+    "lr_report_rows": f"""{VIEWS} {ORDER_METRICS}
+        SELECT order_id, spend_total, avg_score, satisfied FROM labelled
+        WHERE NOT ({TRAIN_SIDE})""",
+    "lr_test_share": f"""{VIEWS} {ORDER_METRICS}
+        SELECT count(*) AS n_test,
+               round(greatest(avg(satisfied), avg(1 - satisfied)), 6) AS majority_share
+        FROM labelled WHERE NOT ({TRAIN_SIDE})""",
+    "kmeans_planted_best_k": f"""{VIEWS} {ORDER_METRICS} {PLANTED}
+        , clusters AS (
+            SELECT cluster AS other, count(*) AS n, avg(z1 * z1 + z2 * z2 + z3 * z3) AS q,
+                   avg(z1) AS c1, avg(z2) AS c2, avg(z3) AS c3
+            FROM points GROUP BY cluster
+        ), distances AS (
+            SELECT order_id, cluster, other, n,
+                   z1 * z1 + z2 * z2 + z3 * z3 + q - 2 * (z1 * c1 + z2 * c2 + z3 * c3) AS distance
+            FROM points, clusters
+        ), sides AS (
+            SELECT order_id,
+                   max(CASE WHEN other = cluster THEN distance * n / (n - 1) END) AS a,
+                   min(CASE WHEN other <> cluster THEN distance END) AS b
+            FROM distances GROUP BY order_id
+        )
+        SELECT 3 AS k, round(avg((b - a) / greatest(a, b)), 5) AS silhouette FROM sides""",
+    "kmeans_planted_assignments": f"""{VIEWS} {ORDER_METRICS} {PLANTED}
+        SELECT order_id, cluster AS prediction FROM points""",
+    "kmeans_planted_profile": f"""{VIEWS} {ORDER_METRICS} {PLANTED}
+        SELECT cluster AS prediction, count(*) AS n_orders,
+               {exact_mean('spend_total')} AS avg_spend,
+               {exact_mean('freight_total')} AS avg_freight,
+               {exact_mean('item_count')} AS avg_items, round(avg(avg_score), 2) AS avg_score
+        FROM planted GROUP BY cluster ORDER BY cluster""",
+    "kmeans_planted_centers": f"""{VIEWS} {ORDER_METRICS} {PLANTED}
+        SELECT cluster AS prediction, round(avg(z1), 5) AS spend_total,
+               round(avg(z2), 5) AS freight_total, round(avg(z3), 5) AS item_count
+        FROM points GROUP BY cluster""",
+    "ml_summary_check": """
+        SELECT cast(count(*) AS bigint) AS n_rows, true AS scores_in_range, true AS k_in_range,
+               true AS silhouette_in_range, true AS clusters_as_k
+        FROM (SELECT count(*) FROM orders)""",
 }
+
+ORACLES["consolidated_spread"] = ORACLES["consolidated"]

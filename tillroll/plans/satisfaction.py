@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from tillroll.operators.rows import drop_incomplete, label_at_least
 from tillroll.sources.session import persisted
 
 LABEL = "satisfied"
+# The columns without which an order is left out.
 REQUIRED = ["spend_total", "freight_total", "item_count", "avg_score", "order_status"]
 
 # The satisfaction threshold and model settings results are compared at.
@@ -62,6 +64,34 @@ class SatisfactionRun:
                 "majority_share": majority_share(kept, LABEL),
             }
 
+    def gradient(self) -> DataFrame:
+        """Slope of the regularised loss at the fitted weights, one row per weight.
+
+        Near zero in each feature and the intercept if the fit has reached the minimum; with
+        the number of training rows.
+        """
+        fitted = self.model.stages[-1]
+        scored = self.model.transform(self.train).select(
+            vector_to_array(SCALED).alias("x"),
+            (vector_to_array("probability")[1] - F.col(LABEL)).alias("miss"),
+        )
+        names = [*FEATURE_NAMES, "intercept"]
+        means = [F.avg(F.col("miss") * F.col("x")[i]) for i in range(len(FEATURE_NAMES))]
+        slopes = [
+            mean + REGULARISATION * float(weight)
+            for mean, weight in zip(means, fitted.coefficients)
+        ] + [F.avg("miss")]
+        rows = F.array(
+            *(
+                F.struct(F.lit(i).alias("position"), F.lit(name).alias("feature"),
+                         slope.alias("slope"))
+                for i, (name, slope) in enumerate(zip(names, slopes), start=1)
+            )
+        )
+        return scored.agg(F.count("*").alias("n_train"), rows.alias("rows")).select(
+            F.inline("rows"), "n_train"
+        )
+
     def coefficients(self, spark: SparkSession) -> DataFrame:
         """The weight of each scaled feature, and the intercept as the last row."""
         fitted = self.model.stages[-1]

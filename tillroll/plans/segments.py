@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.clustering import (
     K_RANGE,
+    PARTITIONS,
     assign_clusters,
     best_k,
     cluster_centers,
@@ -27,15 +28,16 @@ from tillroll.operators.features import (
 from tillroll.sources.session import persisted
 
 
-def segment_features(clean: DataFrame) -> DataFrame:
+def segment_features(clean: DataFrame, columns: Sequence[str] = FEATURE_NAMES) -> DataFrame:
     """Clean order metrics with their scaled feature vector; fitted on all rows."""
-    return scaled_features(clean).drop("features", STATUS_INDEX)
+    return scaled_features(clean, columns).drop("features", STATUS_INDEX)
 
 
 @dataclass(frozen=True)
 class Segmentation:
     features: DataFrame
     results: list[tuple[int, float, KMeansModel]]
+    columns: Sequence[str] = tuple(FEATURE_NAMES)
 
     @property
     def best(self) -> tuple[int, float, KMeansModel]:
@@ -53,7 +55,7 @@ class Segmentation:
         return cluster_profile(self.assignments())
 
     def centers(self, spark: SparkSession) -> DataFrame:
-        return cluster_centers(spark, self.best[2], FEATURE_NAMES)
+        return cluster_centers(spark, self.best[2], self.columns)
 
 
 def best_of(silhouettes: DataFrame) -> DataFrame:
@@ -65,14 +67,15 @@ def fit_segments(
     clean: DataFrame,
     key: str = "order_id",
     ks: Sequence[int] = K_RANGE,
-    partitions: int | None = None,
+    partitions: int = PARTITIONS,
+    columns: Sequence[str] = FEATURE_NAMES,
 ) -> Segmentation:
     """Fits k-means for each k on features placed by key.
 
     Key and vector alone are persisted while fitting, and released before this returns.
     ``clean`` should be read from storage: lost blocks are then rebuilt from files.
     """
-    features = segment_features(clean)
+    features = segment_features(clean, columns)
     with persisted(placed_by_key(features.select(key, SCALED), key, partitions)) as (kept,):
         results = search_k(kept, ks)
-    return Segmentation(features, results)
+    return Segmentation(features, results, list(columns))

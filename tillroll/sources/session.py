@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -43,15 +42,51 @@ def persisted(
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that all nodes of the cluster see.
+    """A fresh path in the session's scratch folder, which all nodes of the cluster see.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Only a local session, whose
-    executors share the driver's disk, may go without the setting.
+    The scratch folder lies in the folder named by ``spark.checkpoint.dir``, is made with
+    the first path and deleted when the driver ends. Only a local session, whose executors
+    share the driver's disk, may go without the setting: it takes its warehouse folder.
     """
-    root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder shared by all nodes")
-        root = tempfile.mkdtemp(prefix="tillroll-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = spark.conf.get("spark.sql.warehouse.dir")
+    scratch = f"{root.rstrip('/')}/tillroll-{context.applicationId}"
+    path, files = _files(spark, scratch)
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return scratch
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _files(spark, path)
+    return files.exists(place)
+
+
+def file_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Size and time of change of a file."""
+    place, files = _files(spark, path)
+    status = files.getFileStatus(place)
+    return status.getLen(), status.getModificationTime()
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Deletes what the session has written to its scratch folder so far."""
+    path, files = _files(spark, _scratch_folder(spark))
+    for status in files.listStatus(path):
+        files.delete(status.getPath(), True)
+
+
+def _files(spark: SparkSession, path: str):
+    """A path and the file system that it is in, which may be any that Hadoop knows."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())

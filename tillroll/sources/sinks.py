@@ -24,8 +24,12 @@ def write_bucketed(frame: DataFrame, table: str, path: str, key: str, buckets: i
 
     Tables with the same number of buckets are grouped by and joined on ``key`` without a
     shuffle. A bucket is read by one task, so ``key`` must not be hot in the table. The
-    bucketing is known to sessions that share the catalogue the table is saved in.
+    bucketing is known to sessions that share the catalogue the table is saved in. A table
+    of that name is replaced only if it lies at ``path``; any other is an error.
     """
+    spark = frame.sparkSession
+    if spark.catalog.tableExists(table) and _location(spark, table) != _qualified(spark, path):
+        raise ValueError(f"table {table} exists at another place than {path}")
     (
         frame.repartition(buckets, key)
         .write.mode("overwrite")
@@ -35,7 +39,19 @@ def write_bucketed(frame: DataFrame, table: str, path: str, key: str, buckets: i
         .sortBy(key)
         .saveAsTable(table)
     )
-    return frame.sparkSession.table(table)
+    return spark.table(table)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return _qualified(spark, found["data_type"]) if found else ""
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return files.makeQualified(place).toString()
 
 
 def write_csv(frame: DataFrame, path: str, mode: str = "overwrite") -> str:
