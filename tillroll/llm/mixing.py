@@ -29,6 +29,7 @@ BUCKETS = 4096
 TEMPERATURE = 2.0
 STEPS = 60
 _PRECISION = 1e-6
+_UNITS = 1_000_000
 _STEPS_BETWEEN_TABLES = 12
 _TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
 
@@ -79,8 +80,12 @@ def fit_classifier(
 
 
 def _table(values: list[float]) -> Column:
-    """A constant array, folded once when the query is planned."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+    """A constant array in millionths, folded once when the query is planned.
+
+    Whole numbers make sums over a text free of the order of its words.
+    """
+    whole = ",".join(str(round(value * _UNITS)) for value in values)
+    return F.split(F.lit(whole), ",").cast("array<bigint>")
 
 
 def members(
@@ -96,12 +101,12 @@ def members(
     summed = tokens.groupBy("id").agg(
         F.count("bucket").alias("n_tokens"),
         *(
-            F.sum(F.round(F.get(_table(weights[k]), F.col("bucket")), 6).cast("decimal(18,6)")).alias(f"s{k}")
+            F.sum(F.get(_table(weights[k]), F.col("bucket"))).alias(f"s{k}")
             for k in rest
         ),
     )
     logit = {
-        k: (F.lit(odds[k]) + F.coalesce(F.col(f"s{k}").cast("double"), F.lit(0.0))) / TEMPERATURE
+        k: (F.lit(odds[k]) + F.coalesce(F.col(f"s{k}") / _UNITS, F.lit(0.0))) / TEMPERATURE
         for k in rest
     }
     top = F.greatest(F.lit(0.0), F.lit(0.0), *logit.values())
