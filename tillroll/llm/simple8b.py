@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import map_batches, slices
-from tillroll.llm.words import ByteLevelIds
+from tillroll.llm.words import byte_level_ids
 from tillroll.sources.session import shared_folder
 
 END_ID = 0
@@ -69,9 +69,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         choice[fits] = selector
     sizes = np.array([c for c, _ in SELECTORS] + [1] * (16 - len(SELECTORS)))
     step = sizes[choice].tolist()
-    heads, at = [], 0
-    while at < ids.size:
-        heads.append(at)
+    heads: list[int] = []
+    at, end, push = 0, ids.size, heads.append
+    while at < end:
+        push(at)
         at += step[at]
     heads = np.array(heads, np.int64)
     chosen = choice[heads]
@@ -150,7 +151,7 @@ _BLOCKS = "shard int, block int, first_id long, n_ids long, doc_ids array<bigint
 
 def _encode(path: str, end_id: int, block_ids: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = ByteLevelIds(path).of
+        ids_of = byte_level_ids(path).of
         end = np.array([end_id], np.uint64)
         shard = TaskContext.get().partitionId()
         schema = pa.schema(

@@ -181,3 +181,9 @@ class WordCounts:
         if not text:
             return 0
         return sum(map(self._counts.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+@cache
+def byte_level_ids(path: str) -> ByteLevelIds:
+    """One memory of words for all tasks of a Python worker."""
+    return ByteLevelIds(path)
