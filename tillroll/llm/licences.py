@@ -53,6 +53,25 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     )
 
 
+def _may_fit(words: Column, sizes: set[int]) -> Column:
+    """False only where the words' distinct bigrams cannot have one of the admitted sizes.
+
+    Their number lies between the distinct words less one and all words less one, which is
+    known before any bigram is made.
+    """
+    runs: list[list[int]] = []
+    for size in sorted(sizes):
+        if runs and size == runs[-1][1] + 1:
+            runs[-1][1] = size
+        else:
+            runs.append([size, size])
+    most, least = F.size(words) - 1, F.size(F.array_distinct(words)) - 1
+    fits = F.lit(False)
+    for low, high in runs:
+        fits = fits | ((most >= low) & (least <= high))
+    return fits
+
+
 def licence_matches(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -77,7 +96,6 @@ def licence_matches(
     ]
     # at most as many rows as the templates have bigrams times the width of their bounds
     admitted = spark.createDataFrame(sizes, "size int, license string, template array<string>")
-    least = min((s for s, _, _ in sizes), default=0)
     text = F.col(text_column)
     lines = F.split(text, "\n")
     whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("line"), text.alias("t"))))
@@ -87,7 +105,8 @@ def licence_matches(
     )
     cut = documents.select(F.col(id_column).alias("id"), F.explode(segments).alias("s"))
     words = F.split(normalised(F.col("s.t")), " ")
-    cut = cut.select("id", "s.line", words.alias("words")).where(F.size("words") > least)
+    cut = cut.select("id", "s.line", words.alias("words"))
+    cut = cut.where((F.size("words") > 1) & _may_fit(F.col("words"), {s for s, _, _ in sizes}))
     cut = cut.select("id", "line", bigrams(F.col("words")).alias("own"))
     near = cut.withColumn("size", F.size("own")).join(F.broadcast(admitted), "size")
     common = F.size(F.array_intersect("own", "template"))
