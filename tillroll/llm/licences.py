@@ -107,6 +107,12 @@ def licence_matches(
     words = F.split(normalised(F.col("s.t")), " ")
     cut = cut.select("id", "s.line", words.alias("words"))
     cut = cut.where((F.size("words") > 1) & _may_fit(F.col("words"), {s for s, _, _ in sizes}))
+    # a match has at least t / (2 - t) of its own bigrams in common, and every word that no
+    # template has spoils one bigram for each two such words
+    known = sorted({w for _, _, pairs in sizes for pair in pairs for w in pair.split(" ")})
+    strange = F.size(F.array_except("words", F.split(F.lit(" ".join(known)), " ")))
+    spoilt = (1 - threshold / (2 - threshold)) * (F.size("words") - 1)
+    cut = cut.where(strange <= 2 * spoilt + 1e-6)
     cut = cut.select("id", "line", bigrams(F.col("words")).alias("own"))
     near = cut.withColumn("size", F.size("own")).join(F.broadcast(admitted), "size")
     common = F.size(F.array_intersect("own", "template"))
