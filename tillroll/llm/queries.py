@@ -14,6 +14,7 @@ from tillroll.llm import (
     licences,
     mixing,
     pii,
+    quality,
     simhash,
     simple8b,
     token_counts,
@@ -123,6 +124,21 @@ def op10_byte_network(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.quality(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "quality",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -136,5 +152,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxic_neighbours,
         op9_digest_counts,
         op10_byte_network,
+        op11_weak_supervision,
     )
 }
