@@ -14,6 +14,7 @@ from tillroll.llm import (
     licences,
     mixing,
     pii,
+    prefix_trie,
     quality,
     simhash,
     simple8b,
@@ -139,6 +140,21 @@ def op11_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    lists = prefix_trie.turn_lists(table(spark, folder, "conversations"))
+    found = prefix_trie.prefix_trie(prefix_trie.with_shared_openings(lists))
+    return found.select(
+        F.col("least").alias("conv_id"),
+        "depth",
+        F.col("parent_least").alias("parent_conv_id"),
+        F.col("n_members").alias("n_convs"),
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        F.col("ends").alias("ends_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -153,5 +169,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_digest_counts,
         op10_byte_network,
         op11_weak_supervision,
+        op12_prefix_trie,
     )
 }
