@@ -52,6 +52,39 @@ def join_counted(left: DataFrame, right: DataFrame, on: list[str], how: str) ->
     return left.join(right, on, how)
 
 
+#: Rows of a key that one task takes in a spread join, unless more keys exceed it than
+#: ``HOT_KEYS``: then those with the most rows are spread, and the list has this bound.
+KEY_ROWS = 1 << 10
+HOT_KEYS = 10_000
+
+
+def join_spread(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    spread: Column,
+    how: str = "inner",
+    key_rows: int = KEY_ROWS,
+) -> DataFrame:
+    """An inner or left join of many rows with one or few rows a key, such as a lookup.
+
+    Keys that ``left`` has often are counted first; their rows are dealt out by the hash
+    ``spread`` over several salts, and the few rows of ``right`` are repeated for each. The
+    list of these keys is broadcast; it has at most ``HOT_KEYS`` rows.
+    """
+    beyond = left.where(" AND ".join(f"`{name}` IS NOT NULL" for name in on)).groupBy(*on)
+    beyond = beyond.agg(F.count("*").alias("_rows")).where(F.col("_rows") > key_rows)
+    hot = stored(beyond.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS), "hot-keys")
+    hot = F.broadcast(hot.select(*on, F.ceil(F.col("_rows") / key_rows).cast("int").alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+    dealt = left.join(hot, on, "left").withColumn("_salt", F.pmod(spread, salts).cast("int")).drop("_salts")
+    copied = (
+        right.join(hot, on, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    )
+    return dealt.join(copied, [*on, "_salt"], how).drop("_salt")
+
+
 def fold(id_column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
     return F.pmod(F.crc32(F.col(id_column).cast("string")), F.lit(modulus))

@@ -18,6 +18,7 @@ from tillroll.llm import (
     quality,
     simhash,
     simple8b,
+    spelling,
     token_counts,
     toxicity,
     vectors,
@@ -155,6 +156,12 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_trie_frontier(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.runs(table(spark, folder, "documents"), least_length=spelling.LEAST_LENGTH)
+    words = spelling.vocabulary(spelling.with_slips(found))
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -170,5 +177,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_byte_network,
         op11_weak_supervision,
         op12_prefix_trie,
+        op13_trie_frontier,
     )
 }
