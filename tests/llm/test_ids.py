@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -23,6 +24,9 @@ ODD = [
 ]
 
 
+ODD += ["a\n", "a\n\n", "a\n\nb", "a\n\n\nb", "\n", "\n\n", "\na", "\n\na", "a \nb", "a\n b", "a\n'sb", "\n!\n?", "x,y, \"z\".", "a\r\n\r\nb"]
+
+
 def mixed(n, seed):
     rng = random.Random(seed)
     parts = ["a", "Zé", " ", "  ", "\n", "\t", "'", "s", "1", "²", "!", "<|", "|>", "endoftext", "ß", "日", "́", "."]
@@ -30,7 +34,7 @@ def mixed(n, seed):
 
 
 def test_words_encode_as_the_library_does():
-    texts = ODD + mixed(3000, 1)
+    texts = ODD + mixed(60_000, 1)
     library = Tokenizer.from_file(BYTES)
     ids = words.ByteLevelIds(BYTES)
     for text in texts * 2:  # the second time from memory
@@ -41,6 +45,25 @@ def test_words_encode_as_the_library_does():
     assert ids.of(None).size == 0 and counts.of(None) == 0
 
 
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"model": {"dropout": 0.0, "end_of_word_suffix": "z"}},
+    {"added_tokens": [{"id": 262, "content": "the", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}]},
+])
+def test_other_tokenizers_go_through_the_library(tmp_path, change):
+    with open(BYTES) as file:
+        own = json.load(file)
+    for name, value in change.items():
+        own[name] = own[name] | value if name == "model" else value
+    path = tmp_path / "own.json"
+    path.write_text(json.dumps(own))
+    assert not words._is_as(str(path), "byte_level") and words._is_as(BYTES, "byte_level")
+    assert words._is_as(WORDS, "word_end") and not words._is_as(BYTES, "word_end")
+    library, ids, counts = Tokenizer.from_file(str(path)), words.ByteLevelIds(str(path)), words.WordCounts(str(path))
+    for text in [*ODD, "The theory of the THE", *mixed(300, 7)]:
+        found = library.encode(text, add_special_tokens=False).ids
+        assert ids.of(text).tolist() == found and counts.of(text) == len(found)
+
+
 def test_a_full_memory_forgets_and_stays_right(monkeypatch):
     monkeypatch.setattr(words, "CACHE_WORDS", 3)
     library, ids = Tokenizer.from_file(BYTES), words.ByteLevelIds(BYTES)

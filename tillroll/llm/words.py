@@ -1,14 +1,16 @@
 """Tokenizers behind a cache of words, for tasks that encode many texts.
 
 A byte-level or word-end BPE splits a text before it merges, so the tokens of a word do not
-depend on its neighbours. Each task asks the library's model for a word once and keeps the
+depend on its neighbours. Each worker asks the library's model for a word once and keeps the
 answer. Only visible ASCII and Latin-1 letters are split here; other words, special strings
-and irregular spacing go through the library's own splitting.
+and irregular spacing go through the library's own splitting, and so does every text if the
+tokenizer's file says anything else than what is assumed here.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from array import array
 from functools import cache
@@ -16,19 +18,58 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words in each of a task's two generations of memory; the older one goes when both are full.
-CACHE_WORDS = 1 << 18
+#: Words in each of a worker's two generations of memory; the older one goes when both are
+#: full. A word takes some 200 bytes.
+CACHE_WORDS = 1 << 19
 
 # Letters that are split here, and the splitting patterns of the tokenizers.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_REGULAR = re.compile(rf"[\n\x20-\x7e{_LETTERS}]*")
+_REGULAR = re.compile(rf"[\x20-\x7e{_LETTERS}]*")
 _WORD = re.compile(rf"[{_LETTERS}]+")
 _BYTE_LEVEL = re.compile(
-    rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+"
+    rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+"
 )
 _WORD_END = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
 
-
+# What a tokenizer's file has to say for its words to be split here.
+_MODEL = {
+    "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None,
+    "fuse_unk": False, "byte_fallback": False, "ignore_merges": False,
+}
+_BYTE_LEVEL_FILE = {
+    "normalizer": None,
+    "pre_tokenizer": {
+        "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True,
+    },
+    "model": _MODEL | {"end_of_word_suffix": None},
+}
+_WORD_END_FILE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "model": _MODEL | {"end_of_word_suffix": "</w>"},
+}
+
+
+# The bytes that byte-level vocabularies show as themselves; the others follow
+# from U+0100 on.
 def _visible_bytes() -> dict[int, str]:
     """The visible character that stands for each byte in byte-level vocabularies.
 
@@ -60,13 +101,28 @@ def library(path: str) -> Tokenizer:
     return tokenizer
 
 
+@cache
+def _is_as(path: str, kind: str) -> bool:
+    """Whether a tokenizer's file has the settings of a kind: ``byte_level`` or ``word_end``.
+
+    Special strings have to be marked by ``<|``, which is looked for in words.
+    """
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    wanted = {"byte_level": _BYTE_LEVEL_FILE, "word_end": _WORD_END_FILE}[kind]
+    model = {name: found["model"].get(name) for name in wanted["model"]}
+    return (
+        {**found, "model": model}.items() >= wanted.items()
+        and all(x["content"].startswith("<|") for x in found.get("added_tokens") or ())
+    )
+
+
 def version(path: str) -> str:
     """Digest of a tokenizer's file."""
     with open(path, "rb") as file:
         return hashlib.sha256(file.read()).hexdigest()
 
 
-
 def _packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
@@ -108,50 +164,74 @@ class _Tokens(_Memory):
 
 
 class _Words(_Memory):
-    """Packed ids by word, a word being what stands between two single spaces.
+    """Packed ids by word, a word being what stands between two single spaces of a line.
 
     Every space before a visible character starts a token, so the word is encoded with that
-    space in front. White space at a word's ends (doubled spaces) and special strings make
-    the text irregular.
+    space in front; the letters of a word with signs are looked up as a word. White space at a
+    word's ends (doubled spaces) and special strings make the text irregular.
     """
 
+    space = " "
+
     def __init__(self, tokenizer: Tokenizer, tokens: _Tokens):
         super().__init__()
         self._tokenizer, self._tokens = tokenizer, tokens
 
     def compute(self, key: str) -> bytes:
         if _WORD.fullmatch(key):
-            return self._tokens.compute(" " + key)
+            return _packed(_pieces(self._tokens._model, self.space + key))
         if not key or key[0].isspace() or key[-1].isspace() or "<|" in key or "|>" in key:
             raise _Irregular
         if _REGULAR.fullmatch(key):
-            return b"".join(map(self._tokens.__getitem__, _BYTE_LEVEL.findall(" " + key)))
-        found = self._tokenizer.encode(" " + key, add_special_tokens=False).ids
+            return b"".join(map(self._token, _BYTE_LEVEL.findall(self.space + key)))
+        found = self._tokenizer.encode(self.space + key, add_special_tokens=False).ids
         return _packed(found)
 
+    def _token(self, token: str) -> bytes:
+        if token[0] == " " and _WORD.fullmatch(token, 1):
+            return self[token[1:]]
+        return self._tokens[token]
+
+
+class _Openings(_Words):
+    """The same for the first words of lines, which have no space in front."""
+
+    space = ""
+
 
 class ByteLevelIds:
     """Ids of whole texts by a byte-level BPE, exactly as the library gives them."""
 
     def __init__(self, path: str):
         self._tokenizer = library(path)
+        self._known = _is_as(path, "byte_level")
         self._tokens = _Tokens(self._tokenizer)
         self._words = _Words(self._tokenizer, self._tokens)
+        self._openings = _Openings(self._tokenizer, self._tokens)
 
     def of(self, text: str | None) -> np.ndarray:
         """Unsigned 32-bit ids; none for null and empty texts."""
         if not text:
             return np.zeros(0, "<u4")
-        first, *later = text.split(" ")
-        try:
-            if not first or not _REGULAR.fullmatch(first) or first[-1].isspace() or "<|" in first:
-                raise _Irregular
-            packed = [*map(self._tokens.__getitem__, _BYTE_LEVEL.findall(first))]
-            packed += map(self._words.__getitem__, later)
-            return np.frombuffer(b"".join(packed), "<u4")
-        except _Irregular:
-            found = self._tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(found, "<u4")
+        # line breaks are tokens of one each if no more than two follow each other, and one ends the text
+        if self._known and "\n\n\n" not in text and text[-2:] != "\n\n":
+            try:
+                return np.frombuffer(b"".join(self._packed(text)), "<u4")
+            except _Irregular:
+                pass
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _packed(self, text: str) -> list[bytes]:
+        found: list[bytes] = []
+        end = self._tokens["\n"]
+        for line in text.split("\n"):
+            if line:
+                first, *later = line.split(" ")
+                found.append(self._openings[first])
+                found += map(self._words.__getitem__, later)
+            found.append(end)
+        found.pop()
+        return found
 
 
 class _Counts(_Memory):
@@ -167,19 +247,28 @@ class _Counts(_Memory):
         if _WORD.fullmatch(key):
             return len(_pieces(self._model, key.lower()))
         if _REGULAR.fullmatch(key) and "<|" not in key:
-            return sum(len(_pieces(self._model, x)) for x in _WORD_END.findall(key.lower()))
+            return sum(map(self._token, _WORD_END.findall(key.lower())))
         return len(self._tokenizer.encode(key, add_special_tokens=False).ids)
 
+    def _token(self, token: str) -> int:
+        if _WORD.fullmatch(token):
+            return self[token]
+        return len(_pieces(self._model, token))
+
 
 class WordCounts:
     """Numbers of tokens of whole texts by a lower-casing BPE whose tokens hold no white space."""
 
     def __init__(self, path: str):
-        self._counts = _Counts(library(path))
+        self._tokenizer = library(path)
+        self._known = _is_as(path, "word_end")
+        self._counts = _Counts(self._tokenizer)
 
     def of(self, text: str | None) -> int:
         if not text:
             return 0
+        if not self._known:
+            return len(self._tokenizer.encode(text, add_special_tokens=False).ids)
         return sum(map(self._counts.__getitem__, text.replace("\n", " ").split(" ")))
 
 
