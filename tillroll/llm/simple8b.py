@@ -46,6 +46,17 @@ _HEADER = struct.Struct("<4sIIQII")
 _MAGIC, _VERSION = b"S8B1", 1
 
 
+#: Bits of the numbers below 2**16, which most ids are.
+_SMALL_BITS = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    """Bits that each id needs; above 2**53 perhaps one more."""
+    if not ids.size or int(ids.max()) < _SMALL_BITS.size:
+        return _SMALL_BITS[ids.astype(np.int64)]
+    return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and the number of ids in each, for ids below 2**60 taken in order.
 
@@ -56,7 +67,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raise ValueError("an id needs more than 60 bits")
     choice = np.full(ids.size, ESCAPE, np.int8)
     # bits of the widest of the next ``span`` ids; past the end nothing is wide
-    span, widest = 1, np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+    span, widest = 1, _bits(ids)
     for selector in range(len(SELECTORS) - 1, -1, -1):
         count, bits = SELECTORS[selector]
         shifted = widest[count - span :]

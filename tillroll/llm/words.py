@@ -18,14 +18,14 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words in each of a worker's two generations of memory; the older one goes when both are
-#: full. A word takes some 200 bytes.
-CACHE_WORDS = 1 << 19
+#: Words in a worker's memory. A word takes some 200 bytes.
+CACHE_WORDS = 1 << 20
 
 # Letters that are split here, and the splitting patterns of the tokenizers.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _REGULAR = re.compile(rf"[\x20-\x7e{_LETTERS}]*")
 _WORD = re.compile(rf"[{_LETTERS}]+")
+_SIGNS = frozenset(".,;:!?")
 _BYTE_LEVEL = re.compile(
     rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+"
 )
@@ -81,11 +81,14 @@ def _visible_bytes() -> dict[int, str]:
 
 
 _VISIBLE = _visible_bytes()
+_SPACE = _VISIBLE[0x20]
 
 
 def _pieces(model, token: str) -> list[int]:
     """Ids of a single token of the splitting pattern."""
-    if not token.isascii():
+    if token[0] == " " and token.isascii() and token[1:].isalpha():
+        token = _SPACE + token[1:]
+    elif not token.isascii():
         token = token.encode().decode("latin-1").translate(_VISIBLE)
     elif not token.isalpha():
         token = token.translate(_VISIBLE)
@@ -128,20 +131,25 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class _Memory(dict):
-    """A dict that computes missing values and forgets those not used for long."""
+    """A dict that computes missing values and keeps the first that it is asked for.
+
+    When it is full it stays as it is, as frequent words come early, until as many others as it
+    holds have been computed; then it forgets all.
+    """
 
     def __init__(self):
         super().__init__()
-        self._older: dict = {}
+        self._others = 0
 
     def __missing__(self, key):
-        found = self._older.get(key)
-        if found is None:
-            found = self.compute(key)
-        if len(self) >= CACHE_WORDS:
-            self._older = dict(self)
+        found = self.compute(key)
+        if len(self) < CACHE_WORDS:
+            self[key] = found
+            return found
+        self._others += 1
+        if self._others >= CACHE_WORDS:
             self.clear()
-        self[key] = found
+            self._others = 0
         return found
 
     def compute(self, key):
@@ -180,6 +188,9 @@ class _Words(_Memory):
     def compute(self, key: str) -> bytes:
         if _WORD.fullmatch(key):
             return _packed(_pieces(self._tokens._model, self.space + key))
+        # a sign behind a letter is a token of its own
+        if key[-1:] in _SIGNS and key[-2:-1].isalpha():
+            return self[key[:-1]] + self._tokens[key[-1]]
         if not key or key[0].isspace() or key[-1].isspace() or "<|" in key or "|>" in key:
             raise _Irregular
         if _REGULAR.fullmatch(key):
