@@ -11,16 +11,23 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators import clustering, evaluation, features, grouping, inspection, joins
-from tillroll.operators import ranking, rows
+from tillroll.operators import checking, clustering, evaluation, features, grouping, inspection
+from tillroll.operators import joins, ranking, rows, timelines
 from tillroll.plans import reports, satisfaction, segments
 from tillroll.sources import readers, schemas, sinks
 from tillroll.sources.session import exists, file_stamp, register_views, shared_folder
-from tillroll.sources.warehouse import items_view, orders_view, retail_tables, reviews_view
+from tillroll.sources.warehouse import (
+    events_view,
+    items_view,
+    orders_view,
+    retail_tables,
+    reviews_view,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PREMIUM_PRICE = 50_000
+SESSION_GAP = 1_800
 # Stand-ins for fitted centres and rules, so that assignment and scores can be checked in SQL.
 FIXED_CENTERS = [(50_000.0, 20.0, 1.0), (150_000.0, 75.0, 3.0), (300_000.0, 150.0, 6.0)]
 RULE_ITEMS = 4
@@ -137,6 +144,62 @@ def table_schemas(spark: SparkSession, folder: str) -> DataFrame:
     return inspection.table_schemas(retail_tables(spark, folder))
 
 
+# Checks before the analysis
+
+KEYS = {"orders": ["order_id"], "items": ["order_id", "order_item_id"], "reviews": ["review_id"]}
+NUMERIC = {"items": ["price", "freight_value"], "reviews": ["review_score"]}
+
+
+def quality_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Nulls, quartiles, outliers and repeated keys of orders, items and reviews."""
+    return checking.quality_report(retail_tables(spark, folder), KEYS, NUMERIC)
+
+
+def deduplicated_items(spark: SparkSession, folder: str) -> DataFrame:
+    """One item for each order and position: that with the highest price."""
+    return checking.deduplicated(items_view(spark, folder), KEYS["items"], ["-price"])
+
+
+def sales_after_deduplication(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales by status over items without repeated rows."""
+    return reports.sales_by_status(orders_view(spark, folder), deduplicated_items(spark, folder))
+
+
+# Events in time
+
+
+def event_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Browsing sessions: a visitor's events with at most half an hour between them."""
+    events = events_view(spark, folder)
+    sums = {
+        "n_purchases": (F.col("event_type") == "purchase").cast("long"),
+        "value_total": F.col("value").cast("decimal(14,2)"),
+    }
+    found = timelines.sessions(events, "user_id", "ts", SESSION_GAP, sums)
+    return found.select(
+        "user_id",
+        "session",
+        F.col("started").cast("string").alias("started"),
+        F.col("ended").cast("string").alias("ended"),
+        "n_events",
+        "n_purchases",
+        F.col("value_total").cast("double").alias("value_total"),
+    )
+
+
+def visits_with_last_purchase(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event with its visitor's last purchase up to then."""
+    events = events_view(spark, folder)
+    purchases = events.where("event_type = 'purchase'").select(
+        "user_id", "ts", F.col("event_id").alias("last_purchase_id"), F.col("value").alias("last_value")
+    )
+    found = timelines.with_last_before(
+        events.select("event_id", "user_id", "ts"), "user_id", "ts",
+        purchases, "user_id", "ts", ["last_purchase_id", "last_value"],
+    )
+    return found.select("event_id", "user_id", "last_purchase_id", "last_value")
+
+
 # Rows
 
 
@@ -508,6 +571,11 @@ QUERIES: dict[str, Query] = {
         head_n,
         first_row,
         table_schemas,
+        quality_report,
+        deduplicated_items,
+        sales_after_deduplication,
+        event_sessions,
+        visits_with_last_purchase,
         map_price,
         item_sales_pairs,
         filter_premium,

@@ -374,3 +374,76 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["consolidated_spread"] = ORACLES["consolidated"]
+
+REPORT_COLUMNS = {
+    "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp"],
+    "items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+    "reviews": ["review_id", "order_id", "review_score", "review_creation_date"],
+}
+REPORT_KEYS = {"orders": "order_id", "items": "order_id, order_item_id", "reviews": "review_id"}
+REPORT_NUMERIC = {"items": ["price", "freight_value"], "reviews": ["review_score"]}
+
+
+def _column_checks(table: str, position: int, column: str) -> str:
+    """One row of the report: the column's nulls and quartiles, and the table's keys."""
+    if column in REPORT_NUMERIC.get(table, ()):
+        q1, median, q3 = (f"(SELECT quantile_disc({column}::double, {p}) FROM retail_{table})" for p in (0.25, 0.5, 0.75))
+        outside = f"{column} < {q1} - 1.5 * ({q3} - {q1}) OR {column} > {q3} + 1.5 * ({q3} - {q1})"
+        outliers = f"(SELECT count(*) FROM retail_{table} WHERE {outside})"
+    else:
+        q1 = median = q3 = "NULL::double"
+        outliers = "NULL::bigint"
+    keys = f"(SELECT DISTINCT {REPORT_KEYS[table]} FROM retail_{table})"
+    return f"""
+        SELECT '{table}' AS table_name, count(*) AS n_rows, {position} AS position,
+               '{column}' AS col_name, count(*) - count({column}) AS n_nulls,
+               {q1} AS q1, {median} AS median, {q3} AS q3, {outliers} AS n_outliers,
+               0::bigint AS n_without_key, (SELECT count(*) FROM {keys}) AS n_keys,
+               count(*) - (SELECT count(*) FROM {keys}) AS n_repeated
+        FROM retail_{table}"""
+
+
+DEDUPLICATED = """
+, deduplicated AS (
+    SELECT * FROM retail_items
+    QUALIFY row_number() OVER (
+        PARTITION BY order_id, order_item_id
+        ORDER BY price DESC NULLS LAST, product_id NULLS FIRST, seller_id NULLS FIRST,
+                 shipping_limit_date NULLS FIRST, freight_value NULLS FIRST) = 1
+)
+"""
+
+ORACLES |= {
+    "quality_report": VIEWS + " UNION ALL ".join(
+        _column_checks(table, position, column)
+        for table, columns in REPORT_COLUMNS.items()
+        for position, column in enumerate(columns, start=1)
+    ),
+    "deduplicated_items": f"{VIEWS} {DEDUPLICATED} SELECT * FROM deduplicated",
+    "sales_after_deduplication": f"""{VIEWS} {DEDUPLICATED}
+        SELECT o.order_status, count(DISTINCT o.order_id) AS n_orders,
+               {exact_sum('i.price')} AS sales_total, {exact_mean('i.price')} AS avg_price
+        FROM retail_orders o JOIN deduplicated i ON o.order_id = i.order_id
+        GROUP BY o.order_status
+        ORDER BY sales_total DESC, o.order_status""",
+    "event_sessions": f"""
+        WITH marked AS (
+            SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER visits <= 1800000000
+                           THEN 0 ELSE 1 END AS begins
+            FROM events WINDOW visits AS (PARTITION BY user_id ORDER BY ts, event_id)
+        ), numbered AS (
+            SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                        ROWS UNBOUNDED PRECEDING) AS session
+            FROM marked
+        )
+        SELECT user_id, cast(session AS bigint) AS session,
+               cast(min(ts) AS varchar) AS started, cast(max(ts) AS varchar) AS ended,
+               count(*) AS n_events, count(*) FILTER (event_type = 'purchase') AS n_purchases,
+               {exact_sum('value')} AS value_total
+        FROM numbered GROUP BY user_id, session""",
+    "visits_with_last_purchase": """
+        SELECT e.event_id, e.user_id, p.event_id AS last_purchase_id, p.value AS last_value
+        FROM events e
+        ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
+            ON e.user_id = p.user_id AND e.ts >= p.ts""",
+}

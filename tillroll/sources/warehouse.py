@@ -19,6 +19,7 @@ STORED_ITEMS = """
     l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz
 """
 STORED_EVENTS = "event_id bigint, ts timestamp_ntz, event_type string, value double"
+STORED_VISITS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
 
 def orders_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,6 +55,11 @@ def reviews_view(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def events_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The browsing events themselves."""
+    return spark.read.schema(STORED_VISITS).parquet(f"{folder}/events.parquet")
+
+
 def retail_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {
         "orders": orders_view(spark, folder),
