@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_batches, slices, stored, text_bytes
+from tillroll.llm.common import join_spread, map_batches, slices, stored, text_bytes
 from tillroll.llm.components import cells, connected, forest
 
 SEED = 42
@@ -161,7 +161,8 @@ def near_copies(
     named = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "fp", F.coalesce("root", "rep").alias("component")
     )
-    found = prints.join(named, "fp", "left")
+    # a third of all rows may have one fingerprint
+    found = join_spread(prints, named, ["fp"], F.xxhash64("id"), "left")
     return found.select(
         "id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component")
     )

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_batches, slices
+from tillroll.llm.common import join_spread, map_batches, slices, stored
 from tillroll.llm.words import WordCounts, version
 
 _CACHE = "tokenizer string, digest binary, n_tokens long"
@@ -87,4 +87,6 @@ def token_counts(
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         digest.alias("digest"),
     )
-    return asked.join(counts, "digest", "left").select("id", "n_bytes", "n_tokens")
+    # a third of all rows may have one content
+    found = join_spread(stored(asked, "asked"), counts, ["digest"], F.xxhash64("id"), "left")
+    return found.select("id", "n_bytes", "n_tokens")
