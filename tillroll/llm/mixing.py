@@ -1,21 +1,28 @@
 """Mixing documents to target weights by soft membership in domains.
 
-A classifier fitted on a table of labelled documents, naive Bayes over hashed words and
-calibrated by levels of evidence, gives every document posterior probabilities of the domains. Document rates r >= 0 are then fitted so that the
-expected tokens of each domain, the sum of rate * tokens * posterior, match their targets:
-least squares over the domains' relative misses, by projected gradient steps.
-
-The objective is the sum of (got_k - target_k)^2 / available_k, and a step is taken in the
-metric of the documents' tokens: r <- max(0, r - sum_k posterior_k * miss_k) with
-miss_k = (got_k - target_k) / available_k. In that metric the largest curvature is one, since
-posteriors sum to one, so the full step never overshoots. Each step is one aggregation; only
-the misses, one number a domain, come to the driver. Only DataFrame functions are used.
+A classifier fitted on a table of labelled documents gives every document posterior
+probabilities of the domains: log odds of hashed words are summed over the text, once all of
+them and once those that speak clearly, and a multinomial logistic regression on these sums,
+fitted on documents whose words the odds were not counted on, turns them into posteriors.
+
+Document rates r >= 0 are then fitted so that the expected tokens of each domain, the sum of
+rate * tokens * posterior, match their targets: least squares over the domains' misses,
+sum of (got_k - target_k)^2 / available_k, by projected gradient steps in the metric of the
+documents' tokens, r <- max(0, r - sum_k posterior_k * miss_k) with miss_k = (got_k -
+target_k) / available_k. In that metric the largest curvature is one, since posteriors sum to
+one. Steps are accelerated by momentum, which starts anew when the objective rises, and go on
+until the targets are met or the objective stands still. A step depends on a document's
+posteriors alone. These are whole thousandths, so documents of equal posteriors are one row
+with the sum of their tokens: at most 501,501 rows for three domains, whatever the corpus.
+Each step is one aggregation; only the domains' sums come to the driver. Only DataFrame
+functions are used.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,28 +32,39 @@ from tillroll.llm.common import bounded_sample, stored
 #: Labelled documents that the classifier is fitted on, at most, chosen by hashes of their ids.
 TRAINING_ROWS = 20_000
 BUCKETS = 16_384
-#: Tokens added to what a domain has of a bucket and to what it would have by its size.
+#: Texts added to those of a domain that have a bucket and to those that would by its size.
 SMOOTHING = 3.0
-#: Documents of the usual mixture that are added to each cell.
-CELL_SMOOTHING = 0.25
-#: Log odds of a bucket that count as evidence.
-LEAST_ODDS = 1.0
-#: Lower bounds of the levels of evidence, the first level having none.
-LEVELS = (-math.inf, 1.0, 3.0, 8.0)
-STEPS = 60
-_PRECISION = 1e-6
+#: Log odds of a bucket that speak clearly.
+CLEAR_ODDS = 1.0
+#: Weight of the zero that the regression's coefficients are drawn to, in documents.
+RIDGE = 0.1
+_SHARES = 1000
+_MET = 1e-8
+_STILL = 1e-6
 _UNITS = 1_000_000
-_STEPS_BETWEEN_TABLES = 12
+_STEPS_BETWEEN_TABLES = 10
 _TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
 
 
-def _bucketed(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, bucket) for every word and run of signs; one null bucket for a text without any."""
-    tokens = F.regexp_extract_all(F.lower(F.col(text_column)), F.lit(_TOKEN), F.lit(0))
-    return documents.select(F.col(id_column).alias("id"), F.explode_outer(tokens).alias("t")).select(
-        "id",
-        F.when(F.col("t").isNotNull(), F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).cast("int")).alias("bucket"),
-    )
+def _tokens(text_column: str) -> Column:
+    """Words and runs of signs of a text; a text without any has none."""
+    found = F.regexp_extract_all(F.lower(F.col(text_column)), F.lit(_TOKEN), F.lit(0))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def _bucket(token: str) -> Column:
+    return F.when(F.col(token).isNotNull(), F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int"))
+
+
+class Classifier(NamedTuple):
+    """Log odds of each bucket by domain, against the first, and the regression on their sums.
+
+    ``coefficients`` has four numbers for each domain but the first: a constant, and the weights
+    of the sum of all odds, of the sum of the clear ones, and of how often words repeat.
+    """
+
+    odds: list[list[float]]
+    coefficients: list[list[float]]
 
 
 def fit_classifier(
@@ -56,14 +74,13 @@ def fit_classifier(
     id_column: str = "doc_id",
     text_column: str = "text",
     rows: int = TRAINING_ROWS,
-) -> tuple[list[list[float]], list[float]]:
-    """Weights of each bucket against the first domain, and the posteriors of each cell.
-
-    ``labelled`` has (id, domain); domains that are not listed and null ones are left out.
-    Weights are log odds drawn to zero where a bucket is rare, and zero below ``LEAST_ODDS``,
-    so that words which lean only a little, such as those of a language, do not add up. A
-    cell is a combination of the evidence levels for the other domains; its posteriors are
-    the domains' shares among the labelled documents in it. Without labels they are even.
+) -> Classifier:
+    """The classifier of documents into ``domains`` from their labels.
+
+    ``labelled`` has (id, domain); domains that are not listed and null ones are left out. The
+    sample is halved by its ids' hashes. Odds counted on one half give the sums of the other,
+    which the regression is fitted on; the odds of the result are those of both halves.
+    Without labels all domains are as likely.
     """
     usable = labelled.where(F.col("id").isNotNull() & F.col("domain").isin(domains))
     chosen = bounded_sample(usable, "id", rows)
@@ -71,36 +88,37 @@ def fit_classifier(
     sample = documents.select(id_column, text_column).join(
         F.broadcast(chosen.select(F.col("id").alias(id_column), "domain")), id_column
     )
-    sample = stored(sample.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"), "domain"), "sample")
+    half = F.pmod(F.xxhash64(id_column, F.lit(11)), F.lit(2)).cast("int")
+    sample = stored(
+        sample.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"), "domain", half.alias("half")),
+        "sample",
+    )
+    # a text counts once in its half, however many copies it has, and so does a word in a text
+    texts = sample.select("domain", "half", "t").distinct()
     counted = (
-        _bucketed(sample, "domain", "t").where("bucket IS NOT NULL")
-        .groupBy(F.col("id").alias("domain"), "bucket").agg(F.count("*").alias("n"))
+        texts.select("domain", "half", F.explode(F.array_distinct(_tokens("t"))).alias("token"))
+        .groupBy("domain", "half", _bucket("token").alias("bucket")).agg(F.count("*").alias("n"))
     )
-    counts = [[0.0] * BUCKETS for _ in domains]
-    for row in counted.collect():  # one row for each domain and bucket at most
-        counts[domains.index(row["domain"])][row["bucket"]] = float(row["n"])
+    counts = [[[0.0] * BUCKETS for _ in domains] for _ in range(2)]
+    for row in counted.collect():  # two rows for each domain and bucket at most
+        counts[row["half"]][domains.index(row["domain"])][row["bucket"]] = float(row["n"])
+    scored = None
+    for k in range(2):
+        sums = _sums(sample.where(F.col("half") != k), _odds(counts[k]), "id", "t", ["domain"])
+        scored = sums if scored is None else scored.unionByName(sums)
+    both = [[x + y for x, y in zip(a, b)] for a, b in zip(*counts)]
+    return Classifier(_odds(both), _regression(stored(scored, "scored"), domains))
+
+
+def _odds(counts: list[list[float]]) -> list[list[float]]:
+    """Log odds of each bucket by domain against the first, drawn to zero where it is rare."""
     totals, everywhere = [sum(c) for c in counts], [sum(c) for c in zip(*counts)]
     usual = [n / max(1.0, sum(everywhere)) for n in everywhere]
     lifts = [
         [math.log((n + SMOOTHING) / (total * u + SMOOTHING)) for n, u in zip(count, usual)]
         for count, total in zip(counts, totals)
     ]
-    weights = []
-    for lift in lifts:
-        odds = [x - y for x, y in zip(lift, lifts[0])]
-        weights.append([x if abs(x) >= LEAST_ODDS else 0.0 for x in odds])
-    cells = [[0] * len(domains) for _ in range(len(LEVELS) ** (len(domains) - 1))]
-    scored = _evidence(sample, weights, "id", "t").join(
-        F.broadcast(chosen.select("id", "domain")), "id"
-    )
-    for row in scored.groupBy("cell", "domain").count().collect():
-        cells[row["cell"]][domains.index(row["domain"])] += row["count"]
-    many = [sum(column) for column in zip(*cells)]
-    prior = [(n + 1) / (sum(many) + len(domains)) for n in many]
-    return weights, [
-        [(n + CELL_SMOOTHING * prior[k]) / (sum(cell) + CELL_SMOOTHING) for cell, n in zip(cells, column)]
-        for k, column in enumerate(zip(*cells))
-    ]
+    return [[x - y for x, y in zip(lift, lifts[0])] for lift in lifts]
 
 
 def _table(values: list[float]) -> Column:
@@ -112,35 +130,135 @@ def _table(values: list[float]) -> Column:
     return F.split(F.lit(whole), ",").cast("array<bigint>")
 
 
+def _sums(
+    documents: DataFrame, odds: list[list[float]], id_column: str, text_column: str, keep: list[str] = []
+) -> DataFrame:
+    """(id, n_tokens, d, a1, c1, a2, c2, ...): sums of odds for domains 1, 2, ...
+
+    ``a`` adds the odds of every token, ``c`` those that are clear, ``d`` tells how often words
+    repeat. Sums are drawn together by their logarithms: a text twice as long does not speak
+    twice as clearly.
+    """
+    names = [F.col(name) for name in keep]
+    whole = documents.select(F.struct(F.col(id_column).alias("id"), *names).alias("_key"), _tokens(text_column).alias("_tokens"))
+    # counted in a step of its own, as rows are repeated for each token in the next
+    whole = whole.select("_key", F.size(F.array_distinct("_tokens")).alias("_different"), "_tokens")
+    words = whole.select("_key", "_different", F.explode_outer("_tokens").alias("_token"))
+    words = words.select("_key", "_different", _bucket("_token").alias("bucket"))
+    sums = []
+    for k in range(1, len(odds)):
+        clear = [x if abs(x) >= CLEAR_ODDS else 0.0 for x in odds[k]]
+        sums += [F.sum(F.get(_table(x), F.col("bucket"))).alias(f"{n}{k}") for n, x in (("a", odds[k]), ("c", clear))]
+    summed = words.groupBy("_key").agg(
+        F.count("bucket").alias("n_tokens"), F.max("_different").alias("_different"), *sums
+    )
+    drawn = [F.log((F.col("n_tokens") + 1) / (F.col("_different") + 1)).alias("d")]
+    for k in range(1, len(odds)):
+        for name in (f"a{k}", f"c{k}"):
+            x = F.coalesce(F.col(name) / _UNITS, F.lit(0.0))
+            drawn.append((F.signum(x) * F.log1p(F.abs(x))).alias(name))
+    return summed.select("_key.id", "n_tokens", *drawn, *(f"_key.{name}" for name in keep))
+
+
+def _logits(coefficients: list[list[float]]) -> list[Column]:
+    return [
+        sum((F.lit(b) * x for b, x in zip(own[1:], _inputs(k)[1:])), F.lit(own[0]))
+        for k, own in enumerate(coefficients, 1)
+    ]
+
+
+def _inputs(k: int) -> list[Column]:
+    return [F.lit(1.0), F.col(f"a{k}"), F.col(f"c{k}"), F.col("d")]
+
+
+def _softmax(logits: list[Column]) -> list[Column]:
+    """Posteriors from logits against the first domain, whose own is zero."""
+    top = F.greatest(F.lit(0.0), F.lit(0.0), *logits)
+    parts = [F.exp(-top), *(F.exp(z - top) for z in logits)]
+    return [part / sum(parts[1:], parts[0]) for part in parts]
+
+
+def _regression(scored: DataFrame, domains: list[str]) -> list[list[float]]:
+    """Coefficients of a multinomial logistic regression of ``domain`` on the sums of odds.
+
+    Newton's method, one aggregation a step; a step is halved until it lowers the loss.
+    """
+    many = len(domains) - 1
+
+    def measured(coefficients):
+        table = scored
+        for k, p in enumerate(_softmax(_logits(coefficients))):
+            table = table.withColumn(f"p{k}", p)
+        own = [(F.col("domain") == d).cast("double") for d in domains]
+        inputs = [_inputs(k) for k in range(1, many + 1)]
+        likely = sum((F.when(o == 1, F.col(f"p{k}")).otherwise(0.0) for k, o in enumerate(own)), F.lit(0.0))
+        wanted = [F.sum(-F.log(F.greatest(likely, F.lit(1e-300))))]
+        wanted += [F.sum((F.col(f"p{k + 1}") - own[k + 1]) * x) for k in range(many) for x in inputs[k]]
+        for i in range(4 * many):
+            for j in range(i, 4 * many):
+                (k, x), (m, y) = divmod(i, 4), divmod(j, 4)
+                pair = F.col(f"p{k + 1}") * (float(k == m) - F.col(f"p{m + 1}"))
+                wanted.append(F.sum(pair * inputs[k][x] * inputs[m][y]))
+        found = [x or 0.0 for x in table.agg(*(w.alias(f"w{n}") for n, w in enumerate(wanted))).first()]
+        flat = [b for row in coefficients for b in row]
+        loss = found[0] + RIDGE / 2 * sum(b * b for b in flat)
+        slope = [g + RIDGE * b for g, b in zip(found[1:], flat)]
+        rest = iter(found[1 + len(flat) :])
+        curve = [[0.0] * len(flat) for _ in flat]
+        for i in range(len(flat)):
+            for j in range(i, len(flat)):
+                curve[i][j] = curve[j][i] = next(rest) + RIDGE * (i == j)
+        return loss, slope, curve
+
+    at = [[0.0] * 4 for _ in range(many)]
+    loss, slope, curve = measured(at)
+    while max(map(abs, slope), default=0.0) > 1e-6 * (1 + loss):
+        step, share = _solved(curve, slope), 1.0
+        while True:
+            flat = iter(step)
+            tried = [[b - share * next(flat) for b in row] for row in at]
+            found = measured(tried)
+            if found[0] < loss:
+                break
+            share /= 2
+            if share < 1e-6:  # as low as numbers of this size can say
+                return at
+        still = loss - found[0] < 1e-12 * loss
+        at, (loss, slope, curve) = tried, found
+        if still:
+            break
+    return at
+
+
+def _solved(matrix: list[list[float]], values: list[float]) -> list[float]:
+    """The solution of a small positive definite system, by elimination."""
+    rows = [[*row, v] for row, v in zip(matrix, values)]
+    for k in range(len(rows)):
+        best = max(range(k, len(rows)), key=lambda i: abs(rows[i][k]))
+        rows[k], rows[best] = rows[best], rows[k]
+        for i in range(len(rows)):
+            if i != k:
+                share = rows[i][k] / rows[k][k]
+                rows[i] = [x - share * y for x, y in zip(rows[i], rows[k])]
+    return [row[-1] / row[k] for k, row in enumerate(rows)]
+
+
 def members(
     documents: DataFrame,
-    model: tuple[list[list[float]], list[float]],
+    model: Classifier,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(id, n_tokens, p0, p1, ...): a document's tokens and the posteriors of the domains."""
-    weights, posteriors = model
-    found = _evidence(documents, weights, id_column, text_column)
-    shares = [F.get(_table(share), F.col("cell")) / _UNITS for share in posteriors]
-    total = sum(shares[1:], shares[0])
-    return found.select("id", "n_tokens", *((x / total).alias(f"p{k}") for k, x in enumerate(shares)))
+    """(id, n_tokens, q0, q1, ...): a document's tokens and posteriors in whole thousandths.
 
-
-def _evidence(
-    documents: DataFrame, weights: list[list[float]], id_column: str, text_column: str
-) -> DataFrame:
-    """(id, n_tokens, cell): the levels of the summed weights of each domain but the first."""
-    rest = range(1, len(weights))
-    summed = _bucketed(documents, id_column, text_column).groupBy("id").agg(
-        F.count("bucket").alias("n_tokens"),
-        *(F.sum(F.get(_table(weights[k]), F.col("bucket"))).alias(f"s{k}") for k in rest),
+    What rounding leaves over of the thousand goes to the first domain.
+    """
+    found = _sums(documents, model.odds, id_column, text_column)
+    shares = [F.floor(p * _SHARES).cast("int") for p in _softmax(_logits(model.coefficients))[1:]]
+    rest = sum(shares, F.lit(0))
+    return found.select(
+        "id", "n_tokens", (F.lit(_SHARES) - rest).alias("q0"), *(q.alias(f"q{k}") for k, q in enumerate(shares, 1))
     )
-    cell = F.lit(0)
-    for k in rest:
-        score = F.coalesce(F.col(f"s{k}") / _UNITS, F.lit(0.0))
-        level = sum((F.when(score > limit, 1).otherwise(0) for limit in LEVELS[1:]), F.lit(0))
-        cell = cell * len(LEVELS) + level
-    return summed.select("id", "n_tokens", cell.cast("int").alias("cell"))
 
 
 def rates(
@@ -152,47 +270,88 @@ def rates(
     total_tokens: float | None = None,
     largest: float | None = None,
 ) -> DataFrame:
-    """(id, n_tokens, p_<domain> ..., rate): how often each document is to be taken.
+    """(id, n_tokens, p_<domain> ..., rate, share_<domain> ...): how often to take each document.
 
     ``targets`` are the domains' shares of ``total_tokens``; without it the total is what
-    leaves the domain with the largest share as it is. ``largest`` scales total and rates so
-    that this is the largest rate: with 1 documents are only left out, never repeated. Null, empty and blank texts have no
-    tokens and the posteriors of texts without evidence. Rows that share an id, null among them, are one
-    document. A domain that no document belongs to is missed without effect on the others.
-    An empty table gives an empty result.
+    leaves the domain with the largest share as it is. With ``largest`` rates are no larger, and
+    the total is free: only the shares are fitted, from rates of one on, so that with 1 documents
+    are left out but never repeated. ``share_<domain>`` is what the rates make of the domain's
+    share, the same in all rows: it tells how near targets that cannot be met have come.
+
+    Null, empty and blank texts have no tokens and the posteriors of texts without evidence.
+    Rows that share an id, null among them, are one document. A domain that no document
+    belongs to is missed without effect on the others. An empty table gives an empty result.
     """
     domains = list(targets)
     model = fit_classifier(documents, labelled, domains, id_column, text_column)
-    table = stored(
-        members(documents, model, id_column, text_column).withColumn("rate", F.lit(1.0)), "members"
-    )
-    n, p = F.col("n_tokens"), [F.col(f"p{k}") for k in range(len(domains))]
-    first = table.agg(*(F.sum(n * x).alias(f"a{k}") for k, x in enumerate(p))).first()
-    available = [x or 0.0 for x in first]
+    table = stored(members(documents, model, id_column, text_column), "members")
+    q = [f"q{k}" for k in range(len(domains))]
+    groups = stored(table.groupBy(*q).agg(F.sum("n_tokens").alias("n")), "groups")
     shares = [targets[d] / sum(targets.values()) for d in domains]
-    if total_tokens is None:
-        lead = max(range(len(domains)), key=lambda k: shares[k])
-        total_tokens = available[lead] / shares[lead]
-    wanted = [share * total_tokens for share in shares]
-    rate, before = F.col("rate"), None
-    for step in range(1, STEPS + 1):
-        got = table.agg(*(F.sum(rate * n * x) for x in p)).first()
-        miss = [((g or 0.0) - w) / a if a else 0.0 for g, w, a in zip(got, wanted, available)]
-        if max(map(abs, miss)) < _PRECISION:
-            break
-        if before and max(abs(x - y) for x, y in zip(miss, before)) < _PRECISION / 10:
-            break
-        before = miss
-        rate = F.greatest(F.lit(0.0), rate - sum((x * m for x, m in zip(p[1:], miss[1:])), p[0] * miss[0]))
+    rated, got = _fitted(groups, shares, total_tokens, largest)
+    all_tokens = sum(got) or 1.0
+    # as many rows as there are posteriors, at most 501,501 for three domains
+    return table.join(rated, q).select(
+        "id", "n_tokens", *((F.col(x) / _SHARES).alias(f"p_{d}") for x, d in zip(q, domains)), "rate",
+        *(F.lit(x / all_tokens).alias(f"share_{d}") for x, d in zip(got, domains)),
+    )
+
+
+def _fitted(
+    groups: DataFrame, shares: list[float], total_tokens: float | None, largest: float | None
+) -> tuple[DataFrame, list[float]]:
+    """The groups (q0, q1, ..., n) with their rates, and the domains' expected tokens.
+
+    With a free total a document's part in a domain's miss is its posterior less the target
+    share; the trace of the curvature then bounds the step.
+    """
+    many, n, rate = len(shares), F.col("n"), F.col("rate")
+    p = [F.col(f"q{k}") / _SHARES for k in range(many)]
+    first = groups.agg(*(F.sum(n * x) for x in p)).first()
+    available = [x or 0.0 for x in first]
+    if largest is None:
+        lead = max(range(many), key=lambda k: shares[k])
+        wanted = [s * (total_tokens or available[lead] / shares[lead]) for s in shares]
+        part, bound = p, 1.0
+    else:
+        wanted = [0.0] * many
+        part = [x - s for x, s in zip(p, shares)]
+        spread = groups.agg(*(F.sum(n * x * x) for x in part)).first()
+        bound = sum((x or 0.0) / a for x, a in zip(spread, available) if a) or 1.0
+    scale = sum((s * sum(available)) ** 2 / a for s, a in zip(shares, available) if a)
+
+    def objective(tokens):
+        return sum((t - w) ** 2 / a for t, w, a in zip(tokens, wanted, available) if a)
+
+    def expected(frame):
+        return [x or 0.0 for x in frame.agg(*(F.sum(rate * n * x) for x in part)).first()]
+
+    table = groups.withColumns({"rate": F.lit(1.0), "before": F.lit(1.0)})
+    got = expected(table)
+    last, history, speed, step = got, [objective(got)], 1.0, 0
+    while history[-1] > _MET**2 * scale:
+        faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        push, speed = (speed - 1) / faster, faster
+        ahead = [x + push * (x - y) for x, y in zip(got, last)]
+        miss = [(x - w) / a / bound if a else 0.0 for x, w, a in zip(ahead, wanted, available)]
+        moved = rate + push * (rate - F.col("before")) - sum((x * m for x, m in zip(part[1:], miss[1:])), part[0] * miss[0])
+        moved = F.greatest(F.lit(0.0), moved)
+        if largest is not None:
+            moved = F.least(F.lit(float(largest)), moved)
+        tried = table.select(*groups.columns, moved.alias("rate"), rate.alias("before"))
+        step += 1
         if step % _STEPS_BETWEEN_TABLES == 0:
-            table = stored(table.withColumn("rate", rate), "members")
-            rate = F.col("rate")
-    if largest is not None:
-        most = table.agg(F.max(rate)).first()[0]
-        rate = rate * F.lit(largest / most) if most else rate
-    return table.select(
-        "id", "n_tokens", *(x.alias(f"p_{d}") for x, d in zip(p, domains)), rate.alias("rate")
-    )
+            tried = stored(tried, "rates")
+        tokens = expected(tried)
+        if objective(tokens) > history[-1] and push > 0:
+            speed = 1.0  # the same step without momentum
+            continue
+        table, last, got = tried, got, tokens
+        history.append(objective(got))
+        if len(history) > 10 and history[-11] - history[-1] <= _STILL * history[-1]:
+            break
+    back = table.agg(*(F.sum(rate * n * x) for x in p)).first()
+    return stored(table.drop("before", "n"), "rates"), [x or 0.0 for x in back]
 
 
 def copies(rate: Column, id_column: Column, seed: int = 5) -> Column:
