@@ -84,6 +84,26 @@ def test_null_ids_and_repeated_rows(make):
     assert sorted(map(tuple, got), key=repr) == sorted([(4, 1, 4), (4, 1, 4), (None, 0, None)], key=repr)
 
 
+def by_rows(rows, threshold=0.93):
+    """Links between rows; rows of one id are in one component."""
+    unit = [np.array(v) / np.linalg.norm(v) for _, v, _ in rows]
+    many = range(len(rows))
+    links = [(a, b) for a in many for b in many if a < b and rows[a][2] == rows[b][2] and unit[a] @ unit[b] >= threshold]
+    same = [(a, b) for a in many for b in many if a < b and rows[a][0] == rows[b][0]]
+    root = components_of(many, links + same)
+    least = {k: min(rows[j][0] for j in many if root[j] == root[k]) for k in many}
+    return sorted((rows[k][0], sum(k in link for link in links), least[k]) for k in many)
+
+
+def test_an_id_with_different_vectors_keeps_its_links_apart(make):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 2), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 2), (3, [0.02, 1.0], 2),
+            (0, [1.0, 1.0], 1), (9, [-1.0, 0.0], 1)]
+    assert found(make.frame(rows, SCHEMA)) == by_rows(rows)
+    rng = np.random.default_rng(7)
+    rows = [(int(rng.integers(40)), v, label) for _, v, label in clustered(80, 6, 0.15)]
+    assert found(make.frame(rows, SCHEMA)) == by_rows(rows)
+
+
 def test_the_plan_keeps_the_recall_at_every_size():
     for n in (0, 10, 10_000, 10**9):
         bits, tables = vectors.plan(n)

@@ -24,24 +24,28 @@ def _templates() -> str:
 
 
 _VECTORS = """
-WITH RECURSIVE good AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+WITH RECURSIVE numbered AS (SELECT *, row_number() OVER () AS r FROM embeddings), good AS (
+  SELECT r, vec_id, label, embedding::DOUBLE[] AS v FROM numbered
   WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), linked AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
-  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  SELECT a.r AS a, b.r AS b FROM good a JOIN good b
+  ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
     AND list_cosine_similarity(a.v, b.v) >= 0.93
+), joined AS (
+  SELECT a, b FROM linked
+  UNION SELECT x.r, y.r FROM good x JOIN good y ON x.vec_id = y.vec_id AND x.r <> y.r
 ), reached AS (
-  SELECT vec_id AS node, vec_id AS other FROM good
+  SELECT r AS node, r AS other FROM good
   UNION
-  SELECT r.node, l.b FROM reached r JOIN linked l ON r.other = l.a
-), component AS (SELECT node, min(other) AS root FROM reached GROUP BY node),
-counted AS (SELECT a, count(*) AS n FROM linked GROUP BY a)
+  SELECT r.node, l.b FROM reached r JOIN joined l ON r.other = l.a
+), component AS (
+  SELECT node, min(vec_id) AS root FROM reached JOIN good ON other = r GROUP BY node
+), counted AS (SELECT a, count(*) AS n FROM linked GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(root, e.vec_id) AS component_id,
   e.vec_id = coalesce(root, e.vec_id) AS kept
-FROM embeddings e LEFT JOIN component ON node = vec_id LEFT JOIN counted ON a = vec_id
+FROM numbered e LEFT JOIN component ON node = r LEFT JOIN counted ON a = r
 """
 
 _LICENCES = rf"""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_batches, slices, stored
+from tillroll.llm.common import join_spread, map_batches, slices, stored
 from tillroll.llm.components import cells, connected, forest
 
 THRESHOLD = 0.93
@@ -135,9 +135,10 @@ def near_vectors(
     classes = (
         rows.where("class IS NOT NULL").groupBy("class")
         .agg(F.first("label").alias("label"), F.first("vector").alias("vector"),
-             F.min("id").alias("rep"), F.count("*").alias("size"))
+             F.min("id").alias("least"), F.count("*").alias("size"))
     )
-    classes = stored(classes, "classes")
+    # classes are numbered, as an id may have several
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     many = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, tables = plan(many, threshold, recall)
     signed = classes.select("vector", "label", "rep", "size")
@@ -157,21 +158,29 @@ def near_vectors(
     # an id with several vectors joins their classes
     ids = rows.where("class IS NOT NULL")
     several = ids.groupBy("id").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
-    shared = ids.join(several.select("id"), "id").join(classes.select("class", "rep"), "class")
+    own = (
+        ids.join(several.select("id"), "id").join(classes.select("class", "rep"), "class")
+        .select("id", "rep").distinct()
+    )
+    shared = own.join(own.groupBy("id").agg(F.min("rep").alias("a")), "id")
     links = pairs.where("b IS NOT NULL").select("a", "b")
-    roots = connected(links.union(shared.select(F.col("id").alias("a"), F.col("rep").alias("b"))))
+    roots = connected(links.union(shared.select("a", F.col("rep").alias("b"))))
     outside = pairs.where("b IS NULL").groupBy("a").agg(F.sum("many").alias("outside"))
     named = (
-        classes.select("class", "rep", "size")
+        classes.select("class", "rep", "least", "size")
         .join(outside, F.col("rep") == F.col("a"), "left")
         .join(roots, F.col("rep") == F.col("node"), "left")
         .select(
             "class",
+            "least",
             (F.col("size") - 1 + F.coalesce("outside", F.lit(0))).alias("n_links"),
-            F.coalesce("root", "rep").alias("component"),
+            F.coalesce("root", "rep").alias("root"),
         )
     )
-    return rows.join(named, "class", "left").select(
+    smallest = named.groupBy("root").agg(F.min("least").alias("component"))
+    named = join_spread(named, smallest, ["root"], F.xxhash64("class")).drop("root", "least")
+    found = join_spread(rows, named, ["class"], F.xxhash64("id"), "left")
+    return found.select(
         "id",
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"),
