@@ -23,14 +23,14 @@ FOLDER = f"{TESTDATA}/sf0.001"
 
 def test_all_are_registered():
     names = entry_points.queries()
-    assert {f"op{k}" for k in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{k}" for k in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_values_equal_the_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "benchmark"):
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
         duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{TESTDATA}/sf0.01/{table}.parquet'")
     frame = QUERIES[name](spark, f"{TESTDATA}/sf0.01")
     expected = duck.sql(ORACLES[name])

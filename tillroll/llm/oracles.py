@@ -106,8 +106,93 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8, bit by bit."""
+    codes = f"hex(encode({text}))"
+    digit = "(strpos('0123456789ABCDEF', substr({0}, {1}, 1)) - 1)"
+    high, low = digit.format(codes, "bit // 4 + 1"), digit.format(codes, "bit // 4 + 2")
+    mixed = f"CASE WHEN bit % 8 = 0 THEN xor(crc, {high} * 16 + {low}) ELSE crc END"
+    step = f"CASE WHEN ({mixed}) & 1 = 1 THEN xor(({mixed}) >> 1, 3988292384) ELSE ({mixed}) >> 1 END"
+    bits = f"range(0, 4 * length({codes}))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda crc, bit: {step}), 4294967295)"
+
+
+_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+), cut AS (
+  SELECT c, ({_crc32("c::VARCHAR")} % 9)::INT AS h FROM (SELECT DISTINCT c FROM turns)
+), placed AS (
+  SELECT cut.c, k, t FROM cut JOIN turns ON turns.c = cut.c - cut.c % 5 AND k <= h
+  UNION ALL SELECT cut.c, k, t FROM cut JOIN turns ON turns.c = cut.c AND k > h
+), rebuilt AS (
+  SELECT cut.c, coalesce(list(t ORDER BY k) FILTER (k IS NOT NULL), []) AS whole
+  FROM cut LEFT JOIN placed ON placed.c = cut.c GROUP BY cut.c
+), prefix AS (
+  SELECT c, d, whole[1:d] AS p, len(whole) = d AS ends
+  FROM (SELECT c, whole, unnest(range(0, len(whole) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT p, d, min(c) AS least, count(*) AS n,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ids
+  FROM prefix GROUP BY p, d
+), upward AS (
+  SELECT n.p, n.d, count(m.p) AS children
+  FROM node n LEFT JOIN node m ON m.d = n.d + 1 AND m.p[1:n.d] = n.p GROUP BY n.p, n.d
+), own AS (
+  SELECT n.*, children, CASE WHEN n.d = 0 THEN 0 ELSE (n.n - 1) * strlen(n.p[n.d].text) END AS saved
+  FROM node n JOIN upward u ON u.d = n.d AND u.p = n.p
+), subtree AS (
+  SELECT n.p, n.d, count(*) FILTER (m.children = 0) AS leaves, sum(m.saved)::BIGINT AS saved
+  FROM own n JOIN own m ON m.d >= n.d AND m.p[1:n.d] = n.p GROUP BY n.p, n.d
+)
+SELECT n.least AS conv_id, n.d AS depth, up.least AS parent_conv_id, n.n AS n_convs,
+  n.children AS n_children, s.leaves AS n_leaves, s.saved AS saved_tokens, sha256(n.ids) AS ends_sha256
+FROM own n JOIN subtree s ON s.d = n.d AND s.p = n.p
+LEFT JOIN node up ON up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]
+"""
+
+_SPELLING = f"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]{{7,}}')) AS r
+  FROM documents
+), hashed AS (
+  SELECT r, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || r")} AS h FROM run
+), slipped AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(r, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word
+  FROM hashed
+), words AS (
+  SELECT word, count(*) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), cut AS (
+  SELECT word, n, left(word, k - 1) AS a, substr(word, k + 1) AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM cut x JOIN cut y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM cut x JOIN words y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word, x.n FROM cut x JOIN words y ON x.a || x.b = y.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS most, min(other) FILTER (n = top) AS form
+  FROM (SELECT *, max(n) OVER (PARTITION BY word) AS top FROM near) GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN most >= 10 * w.n THEN form END AS form, CASE WHEN most >= 10 * w.n THEN most END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL SELECT w.word, f.word, f.form FROM walk w JOIN formed f ON w.next = f.word
+)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk w ON f.word = w.word AND w.next IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "op4_sign_hashing": _VECTORS,
     "op5_licence_dice": _LICENCES,
     "op6_suffix_arrays": _CONTAMINATION,
+    "op12_prefix_trie": _TRIE,
+    "op13_trie_frontier": _SPELLING,
 }
