@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import checking, clustering, evaluation, features, grouping, inspection
-from tillroll.operators import joins, ranking, rows, timelines
+from tillroll.operators import joins, ranking, rows, timelines, totals
 from tillroll.plans import reports, satisfaction, segments
 from tillroll.sources import readers, schemas, sinks
 from tillroll.sources.session import exists, file_stamp, register_views, shared_folder
@@ -313,6 +313,42 @@ def order_metrics_no_fanout(spark: SparkSession, folder: str) -> DataFrame:
     return reports.order_metrics_no_fanout(**retail_tables(spark, folder))
 
 
+MONEY = "decimal(14,2)"
+
+
+def cumulative_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in the order of their dates, with the sales up to each."""
+    orders = orders_view(spark, folder).select("order_id", "order_purchase_timestamp")
+    sales = orders.join(order_sales(spark, folder), "order_id")
+    found = totals.running_totals(
+        sales, ["order_purchase_timestamp", "order_id"], {"running_total": F.col("sale_total").cast(MONEY)}
+    )
+    return found.withColumn("running_total", F.col("running_total").cast("double"))
+
+
+def sales_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """Items and sales by status and month, by either, and in all."""
+    orders = orders_view(spark, folder).select(
+        "order_id", "order_status", F.substring("order_purchase_timestamp", 1, 7).alias("month")
+    )
+    items = items_view(spark, folder).select("order_id", "price")
+    found = totals.cube(
+        items.join(orders, "order_id"), ["order_status", "month"],
+        {"n_items": F.lit(1).cast("long"), "sales_total": F.col("price").cast(MONEY)},
+    )
+    return found.withColumn("sales_total", F.col("sales_total").cast("double"))
+
+
+def monthly_seasonality(spark: SparkSession, folder: str) -> DataFrame:
+    """Trend, seasonal share and residual of the monthly sales, to six digits."""
+    monthly = monthly_sales(spark, folder).select("month", "sales_total")
+    found = totals.with_seasons(monthly, "month", "sales_total")
+    return found.select(
+        "month", F.round("sales_total", 2).alias("sales_total"), F.round("trend", 2).alias("trend"),
+        F.round("seasonal", 6).alias("seasonal"), F.round("residual", 6).alias("residual"),
+    )
+
+
 # Learning. Each run starts from order metrics stored as Parquet: fitting reads its input
 # many times, and files cut the lineage back to the joins.
 
@@ -597,6 +633,9 @@ QUERIES: dict[str, Query] = {
         top_customers,
         avg_ticket_per_order,
         monthly_sales,
+        cumulative_sales,
+        sales_cube,
+        monthly_seasonality,
         order_metrics,
         order_metrics_no_fanout,
         clean_order_metrics,

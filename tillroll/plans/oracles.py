@@ -447,3 +447,41 @@ ORACLES |= {
         ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
             ON e.user_id = p.user_id AND e.ts >= p.ts""",
 }
+
+ORACLES |= {
+    "cumulative_sales": f"""{VIEWS}, sales AS (
+            SELECT order_id, sum(cast(price + freight_value AS decimal(14, 2))) AS sale
+            FROM retail_items GROUP BY order_id
+        )
+        SELECT order_id, order_purchase_timestamp, cast(sale AS double) AS sale_total,
+               cast(sum(sale) OVER in_order AS double) AS running_total,
+               row_number() OVER (ORDER BY order_purchase_timestamp, order_id) AS position
+        FROM sales JOIN retail_orders USING (order_id)
+        WINDOW in_order AS (ORDER BY order_purchase_timestamp, order_id ROWS UNBOUNDED PRECEDING)""",
+    "sales_cube": f"""{VIEWS}
+        SELECT o.order_status, substr(o.order_purchase_timestamp, 1, 7) AS month,
+               cast(grouping(o.order_status, substr(o.order_purchase_timestamp, 1, 7)) AS bigint) AS level,
+               count(*) AS n_items, {exact_sum('i.price')} AS sales_total
+        FROM retail_items i JOIN retail_orders o ON i.order_id = o.order_id
+        GROUP BY CUBE (o.order_status, substr(o.order_purchase_timestamp, 1, 7))""",
+    "monthly_seasonality": f"""{VIEWS}, monthly AS (
+            SELECT cast(substr(order_purchase_timestamp, 1, 7) || '-01' AS date) AS m,
+                   {exact_sum('price')} AS sales
+            FROM retail_orders JOIN retail_items USING (order_id)
+            WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1
+        ), filled AS (
+            SELECT cast(c.m AS date) AS m, coalesce(sales, 0) AS sales
+            FROM generate_series((SELECT min(m) FROM monthly), (SELECT max(m) FROM monthly), INTERVAL 1 MONTH) c(m)
+            LEFT JOIN monthly ON monthly.m = cast(c.m AS date)
+        ), trended AS (
+            SELECT m, sales, CASE WHEN count(*) OVER wide = 13
+                THEN (sum(sales) OVER wide + sum(sales) OVER narrow) / 24 END AS trend
+            FROM filled
+            WINDOW wide AS (ORDER BY m ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING),
+                   narrow AS (ORDER BY m ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)
+        ), shares AS (SELECT month(m) AS k, avg(sales / trend) AS share FROM trended GROUP BY 1),
+        scaled AS (SELECT k, share / (SELECT avg(share) FROM shares) AS seasonal FROM shares)
+        SELECT strftime(m, '%Y-%m') AS month, round(sales, 2) AS sales_total, round(trend, 2) AS trend,
+               round(seasonal, 6) AS seasonal, round(sales / (trend * seasonal), 6) AS residual
+        FROM trended JOIN scaled ON k = month(m)""",
+}
