@@ -43,6 +43,7 @@ _MET = 1e-8
 _STILL = 1e-6
 _UNITS = 1_000_000
 _STEPS_BETWEEN_TABLES = 10
+_GROUP_FILES = 8
 _TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
 
 
@@ -286,7 +287,9 @@ def rates(
     model = fit_classifier(documents, labelled, domains, id_column, text_column)
     table = stored(members(documents, model, id_column, text_column), "members")
     q = [f"q{k}" for k in range(len(domains))]
-    groups = stored(table.groupBy(*q).agg(F.sum("n_tokens").alias("n")), "groups")
+    # few rows that are read in every step: few files
+    groups = table.groupBy(*q).agg(F.sum("n_tokens").alias("n")).coalesce(_GROUP_FILES)
+    groups = stored(groups, "groups")
     shares = [targets[d] / sum(targets.values()) for d in domains]
     rated, got = _fitted(groups, shares, total_tokens, largest)
     all_tokens = sum(got) or 1.0
