@@ -142,3 +142,27 @@ def test_inner_join_keeps_the_key_once(make, rows):
     joined = joins.inner_join(left, right, "key")
     assert joined.columns == ["key", "parent", "detail"]
     assert rows(joined) == [("a", 1, 5), ("a", 1, 6)]
+
+
+def test_slots_are_drawn_before_any_shuffle(spark, make):
+    """A rerun of a shuffled stage may see rows in another order, but their draws stay theirs."""
+    facts = spark.range(400).selectExpr("id", "if(id < 300, 1, id) AS key")
+    details = spark.range(40).selectExpr("id AS detail", "if(id < 30, 1, id) AS key")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # every join is shuffled
+    try:
+        found = joins.left_join(facts, details, "key", joins.Target(rows=20, pairs=100))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        drawn = [k for k, line in enumerate(plan) if "rand(17)" in line]
+        assert len(drawn) == 2
+        for k in drawn:
+            # only the scan lies below the draw in the tree, whose depth the indent shows
+            depth = len(plan[k]) - len(plan[k].lstrip(" :+-*()0123456789"))
+            for line in plan[k + 1 :]:
+                if len(line) - len(line.lstrip(" :+-*()0123456789")) <= depth:
+                    break
+                assert "Exchange" not in line
+        assert found.count() == 300 * 30 + 100
+        assert found.distinct().count() == 300 * 30 + 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

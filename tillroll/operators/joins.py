@@ -7,7 +7,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.sources.session import shared_folder
+
 SALT_SEED = 17
+_DRAW = "_draw"
 
 
 class Target(NamedTuple):
@@ -36,7 +39,7 @@ def left_join(
     Adaptive execution cannot split the right side of a left join, so hot keys are spread
     as in :func:`left_join_with_parent`; rows without a key are spread like any other.
     """
-    hot = hot_keys(left, right, key, target)
+    hot = _kept(hot_keys(left, right, key, target))
     if hot.isEmpty():
         return left.join(right, key, "left")
     cell = [key, "fact_slot", "detail_slot"]
@@ -61,10 +64,10 @@ def left_join_with_parent(
 
     The slot of a row is drawn per row, not from its values, so equal copies spread too.
     Tables with hot keys should come straight from storage, where a rerun task sees the
-    same rows in the same order. Looking for hot keys counts both tables' keys once.
+    same rows in the same order. Looking for hot keys counts both tables' keys once, before the join.
     """
     facts = facts.where(F.col(key).isNotNull())
-    hot = hot_keys(facts, details, key, target)
+    hot = _kept(hot_keys(facts, details, key, target))
     if hot.isEmpty():
         return facts.join(parent, key).join(details, key, "left")
     parent_cells = (
@@ -126,21 +129,29 @@ def _counted(frame: DataFrame, key: str, name: str) -> DataFrame:
     return frame.groupBy(F.col(key).alias(other)).agg(F.count("*").alias(name))
 
 
+def _kept(hot: DataFrame) -> DataFrame:
+    """The list of hot keys, written down, so that both tables' keys are counted once."""
+    path = shared_folder(hot.sparkSession, "hot-keys")
+    hot.write.parquet(path)
+    return hot.sparkSession.read.schema(hot.schema).parquet(path)
+
+
 def _fact_cells(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     # The slot is drawn before the row is repeated, so that all its copies share it.
     return (
-        _sized(facts, hot, key)
+        _sized(_with_draw(facts), hot, key)
         .withColumn("fact_slot", _drawn("fact_slots"))
         .withColumn("detail_slot", _every("detail_slots"))
+        .drop(_DRAW)
     )
 
 
 def _detail_cells(details: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return (
-        _sized(details.where(F.col(key).isNotNull()), hot, key)
+        _sized(_with_draw(details.where(F.col(key).isNotNull())), hot, key)
         .withColumn("detail_slot", _drawn("detail_slots"))
         .withColumn("fact_slot", _every("fact_slots"))
-        .drop("fact_slots", "detail_slots")
+        .drop("fact_slots", "detail_slots", _DRAW)
         .withColumn("has_detail", F.lit(True))
     )
 
@@ -172,9 +183,17 @@ def _sized(frame: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _with_draw(frame: DataFrame) -> DataFrame:
+    """The frame with a number from 0 to 1 for each row, drawn before any shuffle.
+
+    Drawn later, it would depend on the order in which rows arrive, and a task that is run
+    again after a loss could deal its rows out differently.
+    """
+    return frame.withColumn(_DRAW, F.rand(SALT_SEED))
+
+
 def _drawn(slots: str) -> Column:
-    draw = F.floor(F.rand(SALT_SEED) * F.col(slots)).cast("int")
-    return F.when(F.col(slots) > 1, draw).otherwise(0)
+    return F.when(F.col(slots) > 1, F.floor(F.col(_DRAW) * F.col(slots)).cast("int")).otherwise(0)
 
 
 def _every(slots: str) -> Column:
