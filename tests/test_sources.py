@@ -148,3 +148,18 @@ def test_shared_folder_follows_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(root) and first != second
+
+
+def test_stamps_tell_changed_files(spark, tmp_path):
+    from tillroll.sources.session import file_stamps
+
+    for part in ("a b", "c"):
+        spark.range(3).coalesce(1).write.parquet(str(tmp_path / part))
+    frame = spark.read.parquet(str(tmp_path / "a b"), str(tmp_path / "c"))
+    first = file_stamps(spark, frame.inputFiles())
+    assert len(first) == 2 and all(size > 0 for _, size, _ in first)
+    assert file_stamps(spark, frame.inputFiles()) == first
+    spark.range(9).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "c"))
+    after = file_stamps(spark, spark.read.parquet(str(tmp_path / "a b"), str(tmp_path / "c")).inputFiles())
+    assert after != first and len({*after} & {*first}) == 1
+    assert file_stamps(spark, []) == ()

@@ -15,7 +15,7 @@ from tillroll.operators import checking, clustering, evaluation, features, group
 from tillroll.operators import joins, ranking, rows, timelines, totals
 from tillroll.plans import reports, satisfaction, segments
 from tillroll.sources import readers, schemas, sinks
-from tillroll.sources.session import exists, file_stamp, register_views, shared_folder
+from tillroll.sources.session import exists, file_stamps, register_views, shared_folder
 from tillroll.sources.warehouse import (
     events_view,
     items_view,
@@ -359,7 +359,7 @@ def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
     They are written again if a table's files have changed.
     """
     metrics = order_metrics(spark, folder)
-    source = (spark.sparkContext.applicationId, folder, _stamps(spark, metrics.inputFiles()))
+    source = (spark.sparkContext.applicationId, folder, file_stamps(spark, metrics.inputFiles()))
     path = _WRITTEN.get(source)
     if path is None or not exists(spark, path):
         path = sinks.write_parquet(metrics, shared_folder(spark, "order-metrics"))
@@ -370,10 +370,6 @@ def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
 _WRITTEN: dict[tuple, str] = {}
 
 
-def _stamps(spark: SparkSession, files: list[str]) -> tuple:
-    return tuple(sorted((file, *file_stamp(spark, file)) for file in files))
-
-
 def clean_order_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return satisfaction.clean_metrics(order_metrics(spark, folder))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -71,11 +72,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
-def file_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Size and time of change of a file."""
-    place, files = _files(spark, path)
-    status = files.getFileStatus(place)
-    return status.getLen(), status.getModificationTime()
+def file_stamps(spark: SparkSession, paths: list[str]) -> tuple[tuple[str, int, int], ...]:
+    """Path, size and time of change of files, in order: one listing for each folder.
+
+    ``paths`` are URIs as a frame's ``inputFiles`` gives them.
+    """
+    places = {unquote(path) for path in paths}
+    found = []
+    for folder in sorted({path.rpartition("/")[0] for path in places}):
+        place, files = _files(spark, folder)
+        for status in files.listStatus(place):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    same = lambda path: path.partition(":")[2].lstrip("/")
+    named = {same(path): path for path in places}
+    return tuple(sorted((named[same(p)], n, t) for p, n, t in found if same(p) in named))
 
 
 def release_scratch(spark: SparkSession) -> None:
