@@ -11,7 +11,10 @@ sum of (got_k - target_k)^2 / available_k, by projected gradient steps in the me
 documents' tokens, r <- max(0, r - sum_k posterior_k * miss_k) with miss_k = (got_k -
 target_k) / available_k. In that metric the largest curvature is one, since posteriors sum to
 one. Steps are accelerated by momentum, which starts anew when the objective rises, and go on
-until the targets are met or the objective stands still. A step depends on a document's
+until the targets are met or the objective stands still. Where all targets can be met at once,
+it does not matter how misses are weighed, so steps first weigh them by the inverse of the
+domains' Gram matrix, in which all directions are as steep and few steps do; only if these
+stand still short of the targets, steps on the objective itself follow. A step depends on a document's
 posteriors alone. These are whole thousandths, so documents of equal posteriors are one row
 with the sum of their tokens: at most 501,501 rows for three domains, whatever the corpus.
 Each step is one aggregation; only the domains' sums come to the driver. Only DataFrame
@@ -39,7 +42,7 @@ CLEAR_ODDS = 1.0
 #: Weight of the zero that the regression's coefficients are drawn to, in documents.
 RIDGE = 0.1
 _SHARES = 1000
-_MET = 1e-8
+_MET = 1e-6
 _STILL = 1e-6
 _UNITS = 1_000_000
 _STEPS_BETWEEN_TABLES = 10
@@ -326,35 +329,64 @@ def _fitted(
     def objective(tokens):
         return sum((t - w) ** 2 / a for t, w, a in zip(tokens, wanted, available) if a)
 
+    pairs = [(k, m) for k in range(many) for m in range(many)]
+    sums = groups.agg(*(F.sum(n * part[k] * part[m]).alias(f"g{k}_{m}") for k, m in pairs)).first()
+    small = 1e-9 * (sum(sums[f"g{k}_{k}"] or 0.0 for k in range(many)) or 1.0)
+    gram = [[(sums[f"g{k}_{m}"] or 0.0) + small * (k == m) for m in range(many)] for k in range(many)]
+    columns = [_solved(gram, [float(k == m) for k in range(many)]) for m in range(many)]
+    own = [[1 / available[k] if k == m and available[k] else 0.0 for m in range(many)] for k in range(many)]
+    table = groups.withColumns({"rate": F.lit(1.0), "before": F.lit(1.0)})
+    for weights, pace in ((columns, 1.0), (own, bound)):
+        table, got, met = _descended(table, part, wanted, weights, pace, scale, largest, objective)
+        if met:
+            break
+    back = table.agg(*(F.sum(rate * n * x) for x in p)).first()
+    return stored(table.drop("before", "n"), "rates"), [x or 0.0 for x in back]
+
+
+def _descended(table, part, wanted, weights, pace, scale, largest, objective):
+    """The table after projected gradient steps, the sums it has, and whether targets are met.
+
+    ``weights`` is the matrix of the form in the misses that the steps lower, ``pace`` its
+    largest curvature.
+    """
+    many, n, rate = len(wanted), F.col("n"), F.col("rate")
+    names = [name for name in table.columns if name not in ("rate", "before")]
+
     def expected(frame):
         return [x or 0.0 for x in frame.agg(*(F.sum(rate * n * x) for x in part)).first()]
 
-    table = groups.withColumns({"rate": F.lit(1.0), "before": F.lit(1.0)})
+    def weighed(tokens):
+        miss = [t - w for t, w in zip(tokens, wanted)]
+        return [sum(weights[k][m] * miss[m] for m in range(many)) for k in range(many)]
+
+    def form(tokens):
+        return sum((t - w) * x for t, w, x in zip(tokens, wanted, weighed(tokens)))
+
+    table = table.withColumn("before", rate)
     got = expected(table)
-    last, history, speed, step = got, [objective(got)], 1.0, 0
-    while history[-1] > _MET**2 * scale:
+    last, history, speed, step = got, [form(got)], 1.0, 0
+    while objective(got) > _MET**2 * scale:
         faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
         push, speed = (speed - 1) / faster, faster
-        ahead = [x + push * (x - y) for x, y in zip(got, last)]
-        miss = [(x - w) / a / bound if a else 0.0 for x, w, a in zip(ahead, wanted, available)]
+        miss = [x / pace for x in weighed([x + push * (x - y) for x, y in zip(got, last)])]
         moved = rate + push * (rate - F.col("before")) - sum((x * m for x, m in zip(part[1:], miss[1:])), part[0] * miss[0])
         moved = F.greatest(F.lit(0.0), moved)
         if largest is not None:
             moved = F.least(F.lit(float(largest)), moved)
-        tried = table.select(*groups.columns, moved.alias("rate"), rate.alias("before"))
+        tried = table.select(*names, moved.alias("rate"), rate.alias("before"))
         step += 1
         if step % _STEPS_BETWEEN_TABLES == 0:
             tried = stored(tried, "rates")
         tokens = expected(tried)
-        if objective(tokens) > history[-1] and push > 0:
+        if form(tokens) > history[-1] and push > 0:
             speed = 1.0  # the same step without momentum
             continue
         table, last, got = tried, got, tokens
-        history.append(objective(got))
+        history.append(form(got))
         if len(history) > 10 and history[-11] - history[-1] <= _STILL * history[-1]:
-            break
-    back = table.agg(*(F.sum(rate * n * x) for x in p)).first()
-    return stored(table.drop("before", "n"), "rates"), [x or 0.0 for x in back]
+            return table, got, False
+    return table, got, True
 
 
 def copies(rate: Column, id_column: Column, seed: int = 5) -> Column:
