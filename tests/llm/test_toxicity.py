@@ -88,3 +88,16 @@ def test_query_on_held_out_documents(spark):
     toxic = [p for p, y in held if y]
     assert sum(p == y for p, y in held) / len(held) >= 0.98
     assert sum(toxic) / len(toxic) >= 0.9
+
+
+def test_clashing_columns_and_ids_of_text(make):
+    rng = random.Random(2)
+    rows = [(f"k{k}", " ".join(rng.choices(["calm", "kind", "text", "word"], k=12)) + (" vile brute" if k % 3 == 0 else "")) for k in range(150)]
+    docs = make.frame(rows, "doc_id string, text string").withColumns(
+        {"_label": F.lit("x"), "_text": F.lit(1), "id": F.lit(2), "toxic": F.lit(0), "t": F.lit(0), "y": F.lit(0)}
+    )
+    labels = make.frame([(name, int(k % 3 == 0)) for k, (name, _) in enumerate(rows)], "doc_id string, toxic int")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert {r["id"] for r in scored} == {name for name, _ in rows}
+    assert all((r["score"] >= 0.5) == (int(r["id"][1:]) % 3 == 0) for r in scored)
+    assert all(e.startswith("k") for r in scored for e in r["evidence"])

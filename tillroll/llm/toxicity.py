@@ -254,8 +254,10 @@ def fit(
         id_column, label.cast("int").alias("_label")
     )
     chosen = F.broadcast(bounded_sample(usable, id_column, rows))  # EXAMPLES small rows at most
-    found = documents.where(F.col(text_column).isNotNull()).join(chosen, id_column).select(
-        F.col(text_column).alias("t"), F.col("_label").alias("y"), F.col(id_column).alias("id")
+    # further columns of the documents may have any name
+    texts = documents.where(F.col(text_column).isNotNull()).select(id_column, F.col(text_column).alias("_text"))
+    found = texts.join(chosen, id_column).select(
+        F.col("_text").alias("t"), F.col("_label").alias("y"), F.col(id_column).alias("id")
     )
     samples = bounded_sample(found, "id", rows).collect()
     return build(sorted((r["t"].encode(), r["y"], r["id"]) for r in samples))
@@ -268,19 +270,23 @@ def score(
 
     A null or empty text, or one that shares no term with the index, gets the share of label 1
     among such examples and no evidence. Repeated rows stay. An index of no examples gives 0.
+    Evidence is a list of whole numbers, or of strings if ids are of another type.
     """
     kind = documents.schema[id_column].dataType.simpleString()
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    listed, made = ("bigint", pa.int64()) if whole else ("string", pa.string())
+    shown = int if whole else str
     shared = documents.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 512):
             found = [shared.value.score(text) for text in text_bytes(batch.column(1))]
             scores = pa.array([float(s) for s, _ in found], pa.float64())
-            evidence = pa.array([[e for e in near if e is not None] for _, near in found],
-                                pa.list_(pa.int64()))
+            evidence = pa.array([[shown(e) for e in near if e is not None] for _, near in found],
+                                pa.list_(made))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), scores, evidence], names=["id", "score", "evidence"]
             )
 
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column))
-    return map_batches(source, run, f"id {kind}, score double, evidence array<bigint>")
+    return map_batches(source, run, f"id {kind}, score double, evidence array<{listed}>")
