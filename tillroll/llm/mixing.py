@@ -10,11 +10,10 @@ rate * tokens * posterior, match their targets: least squares over the domains'
 sum of (got_k - target_k)^2 / available_k, by projected gradient steps in the metric of the
 documents' tokens, r <- max(0, r - sum_k posterior_k * miss_k) with miss_k = (got_k -
 target_k) / available_k. In that metric the largest curvature is one, since posteriors sum to
-one. Steps are accelerated by momentum, which starts anew when the objective rises, and go on
-until the targets are met or the objective stands still. Where all targets can be met at once,
-it does not matter how misses are weighed, so steps first weigh them by the inverse of the
-domains' Gram matrix, in which all directions are as steep and few steps do; only if these
-stand still short of the targets, steps on the objective itself follow. A step depends on a document's
+one. Where all targets can be met at once it does not matter how misses are weighed: steps first
+weigh them by the inverse Gram matrix of the documents that are not held at a bound, which
+takes few steps. Where these come to a stand, steps on the objective itself follow, with
+momentum that starts anew when it rises, until it stands still. A step depends on a document's
 posteriors alone. These are whole thousandths, so documents of equal posteriors are one row
 with the sum of their tokens: at most 501,501 rows for three domains, whatever the corpus.
 Each step is one aggregation; only the domains' sums come to the driver. Only DataFrame
@@ -329,64 +328,90 @@ def _fitted(
     def objective(tokens):
         return sum((t - w) ** 2 / a for t, w, a in zip(tokens, wanted, available) if a)
 
-    pairs = [(k, m) for k in range(many) for m in range(many)]
-    sums = groups.agg(*(F.sum(n * part[k] * part[m]).alias(f"g{k}_{m}") for k, m in pairs)).first()
-    small = 1e-9 * (sum(sums[f"g{k}_{k}"] or 0.0 for k in range(many)) or 1.0)
-    gram = [[(sums[f"g{k}_{m}"] or 0.0) + small * (k == m) for m in range(many)] for k in range(many)]
-    columns = [_solved(gram, [float(k == m) for k in range(many)]) for m in range(many)]
-    own = [[1 / available[k] if k == m and available[k] else 0.0 for m in range(many)] for k in range(many)]
-    table = groups.withColumns({"rate": F.lit(1.0), "before": F.lit(1.0)})
-    for weights, pace in ((columns, 1.0), (own, bound)):
-        table, got, met = _descended(table, part, wanted, weights, pace, scale, largest, objective)
-        if met:
-            break
+    table = groups.withColumn("rate", F.lit(1.0))
+    table, met = _leapt(table, part, wanted, available, scale, largest, objective)
+    if not met:
+        table = _descended(table, part, wanted, available, bound, scale, largest, objective)
     back = table.agg(*(F.sum(rate * n * x) for x in p)).first()
-    return stored(table.drop("before", "n"), "rates"), [x or 0.0 for x in back]
+    return stored(table.select(*groups.drop("n").columns, "rate"), "rates"), [x or 0.0 for x in back]
 
 
-def _descended(table, part, wanted, weights, pace, scale, largest, objective):
-    """The table after projected gradient steps, the sums it has, and whether targets are met.
+def _expected(table: DataFrame, part: list[Column]) -> list[float]:
+    return [x or 0.0 for x in table.agg(*(F.sum(F.col("rate") * F.col("n") * x) for x in part)).first()]
+
+
+def _clipped(rate: Column, largest: float | None) -> Column:
+    rate = F.greatest(F.lit(0.0), rate)
+    return rate if largest is None else F.least(F.lit(float(largest)), rate)
 
-    ``weights`` is the matrix of the form in the misses that the steps lower, ``pace`` its
-    largest curvature.
-    """
-    many, n, rate = len(wanted), F.col("n"), F.col("rate")
-    names = [name for name in table.columns if name not in ("rate", "before")]
 
-    def expected(frame):
-        return [x or 0.0 for x in frame.agg(*(F.sum(rate * n * x) for x in part)).first()]
+def _along(part: list[Column], weights: list[float]) -> Column:
+    return sum((x * w for x, w in zip(part[1:], weights[1:])), part[0] * weights[0])
 
-    def weighed(tokens):
-        miss = [t - w for t, w in zip(tokens, wanted)]
-        return [sum(weights[k][m] * miss[m] for m in range(many)) for k in range(many)]
 
-    def form(tokens):
-        return sum((t - w) * x for t, w, x in zip(tokens, wanted, weighed(tokens)))
+def _leapt(table, part, wanted, available, scale, largest, objective) -> tuple[DataFrame, bool]:
+    """The table after projected steps that are scaled for the rates that can move.
 
-    table = table.withColumn("before", rate)
-    got = expected(table)
-    last, history, speed, step = got, [form(got)], 1.0, 0
+    The misses are weighed by the inverse Gram matrix of the documents whose rates are not
+    held by a bound, so that a step which meets no bound meets all targets. A step is halved
+    until it lowers the objective; false is returned where none does.
+    """
+    many, n, rate = len(wanted), F.col("n"), F.col("rate")
+    got, step = _expected(table, part), 0
     while objective(got) > _MET**2 * scale:
+        miss = [g - w for g, w in zip(got, wanted)]
+        slope = _along(part, [m / a if a else 0.0 for m, a in zip(miss, available)])
+        held = (rate <= 0) & (slope > 0)
+        if largest is not None:
+            held |= (rate >= largest) & (slope < 0)
+        free = F.when(held, 0.0).otherwise(n)
+        sums = table.agg(*(F.sum(free * part[k] * part[m]) for k in range(many) for m in range(many))).first()
+        flat = [x or 0.0 for x in sums]
+        small = 1e-9 * (sum(flat[:: many + 1]) or 1.0)
+        gram = [[flat[many * k + m] + small * (k == m) for m in range(many)] for k in range(many)]
+        weights, share = _solved(gram, miss), 1.0
+        while True:
+            tried = table.withColumn("rate", _clipped(rate - _along(part, [share * w for w in weights]), largest))
+            tokens = _expected(tried, part)
+            if objective(tokens) < (1 - share / 100) * objective(got):
+                break
+            share /= 2
+            if share < 1e-3:
+                return table, False
+        got, step = tokens, step + 1
+        table = stored(tried, "rates") if step % _STEPS_BETWEEN_TABLES == 0 else tried
+    return table, True
+
+
+def _descended(table, part, wanted, available, bound, scale, largest, objective) -> DataFrame:
+    """The table after accelerated projected gradient steps on the objective itself.
+
+    ``bound`` is its largest curvature in the metric of the tokens. Momentum starts anew when
+    the objective rises; steps end when targets are met or it stands still.
+    """
+    rate, names = F.col("rate"), [name for name in table.columns if name != "rate"]
+    table = stored(table, "rates").withColumn("before", rate)
+    got = _expected(table, part)
+    last, history, speed, step = got, [objective(got)], 1.0, 0
+    while history[-1] > _MET**2 * scale:
         faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
         push, speed = (speed - 1) / faster, faster
-        miss = [x / pace for x in weighed([x + push * (x - y) for x, y in zip(got, last)])]
-        moved = rate + push * (rate - F.col("before")) - sum((x * m for x, m in zip(part[1:], miss[1:])), part[0] * miss[0])
-        moved = F.greatest(F.lit(0.0), moved)
-        if largest is not None:
-            moved = F.least(F.lit(float(largest)), moved)
+        ahead = [x + push * (x - y) for x, y in zip(got, last)]
+        miss = [(x - w) / a / bound if a else 0.0 for x, w, a in zip(ahead, wanted, available)]
+        moved = _clipped(rate + push * (rate - F.col("before")) - _along(part, miss), largest)
         tried = table.select(*names, moved.alias("rate"), rate.alias("before"))
         step += 1
         if step % _STEPS_BETWEEN_TABLES == 0:
             tried = stored(tried, "rates")
-        tokens = expected(tried)
-        if form(tokens) > history[-1] and push > 0:
+        tokens = _expected(tried, part)
+        if objective(tokens) > history[-1] and push > 0:
             speed = 1.0  # the same step without momentum
             continue
         table, last, got = tried, got, tokens
-        history.append(form(got))
+        history.append(objective(got))
         if len(history) > 10 and history[-11] - history[-1] <= _STILL * history[-1]:
-            return table, got, False
-    return table, got, True
+            break
+    return table.drop("before")
 
 
 def copies(rate: Column, id_column: Column, seed: int = 5) -> Column:
