@@ -196,6 +196,45 @@ def test_copies_have_the_rate_as_mean(spark, make):
     assert set(counts) == {1, 2} and counts[2] / 20_000 == pytest.approx(0.3, abs=0.02)
 
 
+def test_bounded_rates_are_the_optimum(spark):
+    """Rates within zero and one against plain projected gradient steps on the same objective."""
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([3, 0.5, 0.4], 400)
+    q = np.floor(p * 1000).astype(int)
+    q[:, 0] += 1000 - q.sum(1)
+    q = np.unique(q, axis=0)
+    n = rng.integers(1, 5000, len(q))
+    shares = np.array([0.93, 0.04, 0.03])
+    groups = spark.createDataFrame([(*map(int, a), int(b)) for a, b in zip(q, n)], "q0 int, q1 int, q2 int, n long")
+    rated, tokens = mixing._fitted(groups, list(shares), None, 1.0)
+    got = {tuple(r[:3]): r["rate"] for r in rated.collect()}
+    rate = np.array([got[tuple(map(int, x))] for x in q])
+    p, part = q / 1000, q / 1000 - shares
+    available = n @ p
+    assert tokens == pytest.approx(list((rate * n) @ p))
+
+    def value(r):
+        return (((r * n) @ part) ** 2 / available).sum() + mixing.KEEP * (n * (1 - r) ** 2).sum()
+
+    best, before, speed = np.ones(len(q)), np.ones(len(q)), 1.0
+    for _ in range(20_000):
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        ahead = best + (speed - 1) / faster * (best - before)
+        slope = part @ (((ahead * n) @ part) / available) + mixing.KEEP * (ahead - 1)
+        before, speed = best, faster
+        best = np.clip(ahead - slope / (1 + mixing.KEEP), 0, 1)
+    assert value(rate) <= value(best) * (1 + 1e-6)
+    assert 0.05 < rate.mean() < 0.95
+
+
+def test_bounded_rates_keep_documents_of_the_only_domain(spark):
+    schema = "q0 int, q1 int, q2 int, n long"
+    for rows in ([(1000, 0, 0, 50)], [(1000, 0, 0, 0)], [(0, 1000, 0, 7)]):
+        rated, _ = mixing._fitted(spark.createDataFrame(rows, schema), [0.93, 0.04, 0.03], None, 1.0)
+        assert rated.first()["rate"] == pytest.approx(1.0)
+    assert mixing._fitted(spark.createDataFrame([], schema), [0.93, 0.04, 0.03], None, 1.0)[0].count() == 0
+
+
 def test_mixed_documents_keep_their_columns(make):
     docs, labels = corpus(make)
     frame = docs.withColumns({"_n": F.lit(1), "rate": F.lit("r"), "_id": F.lit(0)})

@@ -18,6 +18,13 @@ posteriors alone. These are whole thousandths, so documents of equal posteriors
 with the sum of their tokens: at most 501,501 rows for three domains, whatever the corpus.
 Each step is one aggregation; only the domains' sums come to the driver. Only DataFrame
 functions are used.
+
+With an upper bound on rates the total is free, and rates of zero would meet any shares. There
+steps are lazy: they add up in one weight for each domain, and rates are what the bounds leave
+of one less a document's posteriors times the weights. Steps are scaled by the Gram matrix of
+the documents inside the bounds and halved until the concave dual of the objective rises. The
+objective is the misses beside a small weight of the tokens that are left out, so that documents
+stay where shares cannot be met otherwise.
 """
 
 from __future__ import annotations
@@ -43,6 +50,8 @@ RIDGE = 0.1
 _SHARES = 1000
 _MET = 1e-6
 _STILL = 1e-6
+#: Weight of a left out token beside the misses, where the total is free.
+KEEP = 2e-4
 _UNITS = 1_000_000
 _STEPS_BETWEEN_TABLES = 10
 _GROUP_FILES = 8
@@ -278,7 +287,7 @@ def rates(
     ``targets`` are the domains' shares of ``total_tokens``; without it the total is what
     leaves the domain with the largest share as it is. With ``largest`` rates are no larger, and
     the total is free: only the shares are fitted, from rates of one on, so that with 1 documents
-    are left out but never repeated. ``share_<domain>`` is what the rates make of the domain's
+    are left out but never repeated; a left out token weighs ``KEEP`` beside the misses. ``share_<domain>`` is what the rates make of the domain's
     share, the same in all rows: it tells how near targets that cannot be met have come.
 
     Null, empty and blank texts have no tokens and the posteriors of texts without evidence.
@@ -308,7 +317,7 @@ def _fitted(
     """The groups (q0, q1, ..., n) with their rates, and the domains' expected tokens.
 
     With a free total a document's part in a domain's miss is its posterior less the target
-    share; the trace of the curvature then bounds the step.
+    share.
     """
     many, n, rate = len(shares), F.col("n"), F.col("rate")
     p = [F.col(f"q{k}") / _SHARES for k in range(many)]
@@ -317,21 +326,21 @@ def _fitted(
     if largest is None:
         lead = max(range(many), key=lambda k: shares[k])
         wanted = [s * (total_tokens or available[lead] / shares[lead]) for s in shares]
-        part, bound = p, 1.0
+        scale = sum((s * sum(available)) ** 2 / a for s, a in zip(shares, available) if a)
+
+        def objective(tokens):
+            return sum((t - w) ** 2 / a for t, w, a in zip(tokens, wanted, available) if a)
+
+        table = groups.withColumn("rate", F.lit(1.0))
+        table, met = _leapt(table, p, wanted, available, scale, objective)
+        if not met:
+            table = _descended(table, p, wanted, available, scale, objective)
     else:
-        wanted = [0.0] * many
-        part = [x - s for x, s in zip(p, shares)]
-        spread = groups.agg(*(F.sum(n * x * x) for x in part)).first()
-        bound = sum((x or 0.0) / a for x, a in zip(spread, available) if a) or 1.0
-    scale = sum((s * sum(available)) ** 2 / a for s, a in zip(shares, available) if a)
-
-    def objective(tokens):
-        return sum((t - w) ** 2 / a for t, w, a in zip(tokens, wanted, available) if a)
-
-    table = groups.withColumn("rate", F.lit(1.0))
-    table, met = _leapt(table, part, wanted, available, scale, largest, objective)
-    if not met:
-        table = _descended(table, part, wanted, available, bound, scale, largest, objective)
+        # a domain without documents leaves the others' shares to each other
+        known = sum(s for s, a in zip(shares, available) if a) or 1.0
+        part = [x - s / known if a else F.lit(0.0) for x, s, a in zip(p, shares, available)]
+        weights = _weights(groups, part, available, largest)
+        table = groups.withColumn("rate", _clipped(1 - _along(part, weights), largest))
     back = table.agg(*(F.sum(rate * n * x) for x in p)).first()
     return stored(table.select(*groups.drop("n").columns, "rate"), "rates"), [x or 0.0 for x in back]
 
@@ -340,7 +349,45 @@ def _expected(table: DataFrame, part: list[Column]) -> list[float]:
     return [x or 0.0 for x in table.agg(*(F.sum(F.col("rate") * F.col("n") * x) for x in part)).first()]
 
 
-def _clipped(rate: Column, largest: float | None) -> Column:
+def _weights(groups: DataFrame, part: list[Column], available: list[float], largest: float) -> list[float]:
+    """A weight for each domain, so that clipped rates of one less ``part`` times the weights
+    make misses and left out tokens least; one aggregation of constant size a step."""
+    many, n, every = len(part), F.col("n"), sum(available)
+    if not every:
+        return [0.0] * many
+    sizes = [max(a, 1e-9 * every) * KEEP for a in available]
+
+    def measured(weights):
+        moved = 1 - _along(part, weights)
+        rate = _clipped(moved, largest)
+        inside = F.when((moved >= 0) & (moved <= largest), n).otherwise(0.0)
+        sums = [F.sum(n * rate * x) for x in part] + [F.sum(n * (rate - 1) ** 2)]
+        sums += [F.sum(inside * part[k] * part[m]) for k in range(many) for m in range(many)]
+        found = list(groups.agg(*(x.alias(f"s{k}") for k, x in enumerate(sums))).first())
+        got, left, flat = found[:many], found[many], found[many + 1 :]
+        height = left / 2 + sum(w * g - s * w * w / 2 for w, g, s in zip(weights, got, sizes))
+        slope = [g - s * w for g, s, w in zip(got, sizes, weights)]
+        curve = [[flat[many * k + m] + sizes[k] * (k == m) for m in range(many)] for k in range(many)]
+        return height, slope, curve
+
+    weights = [0.0] * many
+    height, slope, curve = measured(weights)
+    while sum(x * x / s for x, s in zip(slope, sizes)) * KEEP > _MET**2 * every:
+        step, share = _solved(curve, slope), 1.0
+        rise = sum(x * y for x, y in zip(slope, step))
+        while True:
+            tried = [w + share * x for w, x in zip(weights, step)]
+            found = measured(tried)
+            if found[0] > height + 1e-4 * share * rise:
+                break
+            share /= 2
+            if share < 1e-9:  # as high as numbers of this size can say
+                return weights
+        weights, (height, slope, curve) = tried, found
+    return weights
+
+
+def _clipped(rate: Column, largest: float | None = None) -> Column:
     rate = F.greatest(F.lit(0.0), rate)
     return rate if largest is None else F.least(F.lit(float(largest)), rate)
 
@@ -349,7 +396,7 @@ def _along(part: list[Column], weights: list[float]) -> Column:
     return sum((x * w for x, w in zip(part[1:], weights[1:])), part[0] * weights[0])
 
 
-def _leapt(table, part, wanted, available, scale, largest, objective) -> tuple[DataFrame, bool]:
+def _leapt(table, part, wanted, available, scale, objective) -> tuple[DataFrame, bool]:
     """The table after projected steps that are scaled for the rates that can move.
 
     The misses are weighed by the inverse Gram matrix of the documents whose rates are not
@@ -361,17 +408,14 @@ def _leapt(table, part, wanted, available, scale, largest, objective) -> tuple[D
     while objective(got) > _MET**2 * scale:
         miss = [g - w for g, w in zip(got, wanted)]
         slope = _along(part, [m / a if a else 0.0 for m, a in zip(miss, available)])
-        held = (rate <= 0) & (slope > 0)
-        if largest is not None:
-            held |= (rate >= largest) & (slope < 0)
-        free = F.when(held, 0.0).otherwise(n)
+        free = F.when((rate <= 0) & (slope > 0), 0.0).otherwise(n)
         sums = table.agg(*(F.sum(free * part[k] * part[m]) for k in range(many) for m in range(many))).first()
         flat = [x or 0.0 for x in sums]
         small = 1e-9 * (sum(flat[:: many + 1]) or 1.0)
         gram = [[flat[many * k + m] + small * (k == m) for m in range(many)] for k in range(many)]
         weights, share = _solved(gram, miss), 1.0
         while True:
-            tried = table.withColumn("rate", _clipped(rate - _along(part, [share * w for w in weights]), largest))
+            tried = table.withColumn("rate", _clipped(rate - _along(part, [share * w for w in weights])))
             tokens = _expected(tried, part)
             if objective(tokens) < (1 - share / 100) * objective(got):
                 break
@@ -383,11 +427,11 @@ def _leapt(table, part, wanted, available, scale, largest, objective) -> tuple[D
     return table, True
 
 
-def _descended(table, part, wanted, available, bound, scale, largest, objective) -> DataFrame:
+def _descended(table, part, wanted, available, scale, objective) -> DataFrame:
     """The table after accelerated projected gradient steps on the objective itself.
 
-    ``bound`` is its largest curvature in the metric of the tokens. Momentum starts anew when
-    the objective rises; steps end when targets are met or it stands still.
+    Its largest curvature in the metric of the tokens is one. Momentum starts anew when the
+    objective rises; steps end when targets are met or it stands still.
     """
     rate, names = F.col("rate"), [name for name in table.columns if name != "rate"]
     table = stored(table, "rates").withColumn("before", rate)
@@ -397,8 +441,8 @@ def _descended(table, part, wanted, available, bound, scale, largest, objective)
         faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
         push, speed = (speed - 1) / faster, faster
         ahead = [x + push * (x - y) for x, y in zip(got, last)]
-        miss = [(x - w) / a / bound if a else 0.0 for x, w, a in zip(ahead, wanted, available)]
-        moved = _clipped(rate + push * (rate - F.col("before")) - _along(part, miss), largest)
+        miss = [(x - w) / a if a else 0.0 for x, w, a in zip(ahead, wanted, available)]
+        moved = _clipped(rate + push * (rate - F.col("before")) - _along(part, miss))
         tried = table.select(*names, moved.alias("rate"), rate.alias("before"))
         step += 1
         if step % _STEPS_BETWEEN_TABLES == 0:
