@@ -96,3 +96,48 @@ def test_query_equals_the_patterns(spark):
         assert r["base_sha256"] == hashlib.sha256(pii.joined(base).encode()).hexdigest()
         assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in base) for k in pii.KINDS]
         assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(r["spans"].split(","))
+
+
+def test_disguises_are_candidates_that_the_base_does_not_see():
+    rng = random.Random(5)
+    real = {"email": "bob.k@mail.example.com", "ip": "10.20.30.40", "card": "4111111111111111", "phone": "+49 30 1234567"}
+    for kind, own in real.items():
+        for _ in range(40):
+            text = f"see {pii.disguised(kind, own, rng)} now"
+            assert not any(s[0] == kind for s in pii.base_spans(text)), text
+            span = (kind, 4, len(text) - 4)
+            assert any(pii.found_again(s, [span]) for s in pii.candidates(text)), text
+
+
+def test_calibration_lowers_the_loss_where_classes_are_separate():
+    rng = np.random.default_rng(3)
+    for n in (30, 3000):
+        x = rng.normal(size=(n, 3))
+        y = x[:, 0] > 0
+        held = np.arange(n) % 4 == 0
+        trees = pii.boost(x, y, held)
+        raw, own = trees.raw(x[held]), y[held]
+
+        def loss(slope, offset):
+            # the targets of the calibration, a little inside 0 and 1
+            target = np.where(own, (own.sum() + 1) / (own.sum() + 2), 1 / (len(own) - own.sum() + 2))
+            z = slope * raw + offset
+            return (np.logaddexp(0, z) - target * z).sum() + 0.05 * (slope**2 + offset**2)
+
+        assert np.isfinite(trees.slope) and 0 < trees.slope < 50
+        assert loss(trees.slope, trees.offset) <= loss(1.0, 0.0)
+
+
+def test_added_spans_on_planted_texts_not_trained_on(spark):
+    """Recall of disguised spans and precision of added ones, on every second document."""
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.1/documents.parquet").where("text IS NOT NULL")
+    trees = pii.fit(docs.where("doc_id % 2 = 0"))
+    real, hit, added, right = 0, 0, 0, 0
+    for row in docs.where("doc_id % 2 = 1 AND text RLIKE '[0-9]{2}|@'").select("text").collect():
+        text, spans = pii.planted(row["text"])
+        base, found = pii.find(text, trees)
+        more = [s for s in found if s not in base]
+        real, hit = real + len(spans), hit + sum(pii.found_again(s, more) for s in spans)
+        added, right = added + len(more), right + sum(pii.found_again(s, spans) for s in more)
+    print(f"planted {real}, found {hit}, added {added}, right {right}")
+    assert real > 100 and hit / real >= 0.75 and right / added >= 0.9

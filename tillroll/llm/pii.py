@@ -5,17 +5,20 @@ spans that the strict base patterns find. Boosted trees score each other candida
 format and its surroundings, the scores are calibrated on held-out candidates, and those
 above a threshold become redactions beside the base spans.
 
-The trees are trained here on candidates of a bounded sample of documents. Their labels are
-the base patterns themselves (weak supervision): a candidate that is a base span is
-positive, any other negative. What the validators check (digit sums, ranges, the exact
-pattern) is no feature, so a candidate of the same shape in the same surroundings as real
-ones can be selected although a strict check fails.
+The trees are trained here on a bounded sample of documents, on candidates that the base
+patterns do not see. Their truth is planted: of the base spans of a text some are written anew
+in a form that only the generators know (positive), some give way to look-alikes such as
+versions, prices, dates and serial numbers (negative), all in the surroundings of real ones.
+Candidates that the text holds besides are negative. Planting follows the text alone, so a
+rerun gives the same.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,11 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_sample, map_batches, slices
+from tillroll.llm.common import bounded_sample, map_batches, slices, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with digits or an at sign that the trees are trained on, at most.
 TRAINING_ROWS = 3000
+#: Times that each of them is planted, with other spans and forms.
+PLANTINGS = 8
+#: Candidates of these that come to the driver, at most.
+TRAINING_CANDIDATES = 20_000
 #: Calibrated probability from which a candidate that is no base span is redacted.
 THRESHOLD = 0.95
 _ROUNDS, _DEPTH, _BINS, _RATE = 40, 3, 32, 0.2
@@ -208,15 +215,96 @@ def _calibrate(trees: Trees, rows: np.ndarray, labels: np.ndarray) -> None:
     n = labels.sum()
     target = np.where(labels, (n + 1) / (n + 2), 1 / (len(labels) - n + 2))
     x = np.stack([raw, np.ones(len(raw))], 1)
+
+    def loss(weights: np.ndarray) -> float:
+        # a small ridge keeps the curve finite where the classes are separate
+        z = x @ weights
+        return float((np.logaddexp(0, z) - target * z).sum() + 0.05 * (weights**2).sum())
+
     weights = np.array([1.0, 0.0])
-    for _ in range(30):
+    for _ in range(100):
         p = _logistic(x @ weights)
-        # a small ridge keeps the curve finite where the classes are separate
         bend = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
-        weights += np.linalg.solve(bend, x.T @ (target - p) - 0.1 * weights)
+        step, share = np.linalg.solve(bend, x.T @ (target - p) - 0.1 * weights), 1.0
+        while share > 1e-6 and loss(weights + share * step) >= loss(weights):
+            share /= 2
+        if share <= 1e-6:  # at the minimum
+            break
+        weights = weights + share * step
     trees.slope, trees.offset = float(weights[0]), float(weights[1])
 
 
+def disguised(kind: str, own: str, rng: random.Random) -> str:
+    """A base span in a form that the generators know and the base patterns do not."""
+    if kind == "email":
+        dot = rng.choice([".", "(dot)", " (dot) ", "[dot]"])
+        local, domain = own.split("@", 1)
+        return local + rng.choice(["(at)", "[at]", " (at) ", " @ "]) + domain.replace(".", dot)
+    if kind == "ip":
+        return own.replace(".", rng.choice([",", " . ", "-", ":", "_"]))
+    if kind == "card":
+        digits = re.sub("[^0-9]", "", own)
+        return rng.choice([".", "/", "_", "  "]).join(digits[k : k + 4] for k in range(0, len(digits), 4))
+    form = rng.randrange(3)
+    return ("00" + own[1:], own[1:], re.sub(r"[\x20.()-]+", "/", own))[form]
+
+
+def look_alike(rng: random.Random) -> str:
+    """Digits that are no personal data: a version, price, date, serial or order number."""
+    def some(low: int, high: int) -> int:
+        return rng.randint(low, high)
+
+    return rng.choice([
+        f"version {some(1, 20)}.{some(0, 30)}.{some(0, 9)}.{some(300, 9999)}",
+        f"{some(1, 99)},{some(100, 999)},{some(100, 999)}.{some(10, 99)} USD",
+        f"20{some(10, 29)}-0{some(1, 9)}-{some(10, 28)} {some(10, 23)}:{some(10, 59)}:{some(10, 59)}",
+        f"SN-{some(0, 10**14):016d}",
+        f"order {some(10**7, 10**8)}-{some(100, 999)}",
+        f"{some(10, 99)}.{some(10, 99)}.{some(1000, 9999)} - {some(10, 99)}.{some(10, 99)}.{some(1000, 9999)}",
+    ])
+
+
+def planted(text: str, again: int = 0) -> tuple[str, list[Span]]:
+    """The text with a third of its base spans disguised and a third replaced by look-alikes,
+    and where the disguised ones are; ``again`` gives other choices."""
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace"), again))
+    parts, spans, at, length = [], [], 0, 0
+    for kind, start, end in base_spans(text):
+        if start < at:
+            continue
+        form = rng.randrange(3)
+        own = (text[start:end], None, None)[form] or (
+            disguised(kind, text[start:end], rng) if form == 1 else look_alike(rng)
+        )
+        parts += [text[at:start], own]
+        length += start - at
+        if form == 1:
+            spans.append((kind, length, length + len(own)))
+        length, at = length + len(own), end
+    return "".join([*parts, text[at:]]), spans
+
+
+def found_again(span: Span, real: list[Span]) -> bool:
+    """Whether a span is of the kind of a real one and shares four fifths of both with it."""
+    kind, start, end = span
+    return any(
+        k == kind and 5 * (min(end, b) - max(start, a)) >= 4 * (max(end, b) - min(start, a)) for k, a, b in real
+    )
+
+
+def examples(text: str) -> list[tuple[list[float], bool]]:
+    """Features and truth of the candidates that touch no base span, after planting."""
+    made = []
+    for again in range(PLANTINGS):
+        changed, real = planted(text, again)
+        base = base_spans(changed)
+        other = [span for span in candidates(changed) if not _covered(span, base)]
+        made += [(features(changed, span), found_again(span, real)) for span in other]
+        if changed == text and not base:  # nothing to plant
+            break
+    return made
+
+
 def fit(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -225,21 +313,36 @@ def fit(
 ) -> Trees | None:
     """Trains on candidates of at most ``rows`` texts, chosen by hashes of their ids.
 
-    Without candidates of both classes there are no trees, and only base spans are found.
+    Texts stay with the tasks; the driver gets the features of at most ``TRAINING_CANDIDATES``
+    candidates. Rows without an id are not trained on. Without candidates of both classes
+    there are no trees, and only base spans are found.
     """
-    text = F.col(text_column)
-    usable = documents.where(text.rlike("[0-9]{2}|@")).select(text.alias("t"), F.col(id_column).alias("id"))
-    taken = sorted(bounded_sample(usable, "id", rows).collect(), key=lambda row: row["t"])
-    made, labels, held = [], [], []
-    for k, row in enumerate(taken):
-        real = set(base_spans(row["t"]))
-        for span in candidates(row["t"]):
-            made.append(features(row["t"], span))
-            labels.append(span in real)
-            held.append(k % 4 == 0)
-    if len(set(labels)) < 2:
+    source = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"))
+    usable = source.where(F.col("t").rlike("[0-9]{2}|@") & F.col("id").isNotNull())
+    chosen = F.broadcast(bounded_sample(usable.select("id"), "id", rows))  # ``rows`` ids at most
+    texts = usable.join(chosen.distinct(), "id").select(F.col("id").cast("string").alias("id"), "t")
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            keys, rows, labels = [], [], []
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for k, (row, real) in enumerate(examples(text)):
+                    keys.append(f"{name}:{k}")
+                    rows.append(row)
+                    labels.append(real)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.bool_())],
+                names=["key", "row", "real"],
+            )
+
+    rows_made = stored(map_batches(texts, made, "key string, row array<double>, real boolean"), "pii-candidates")
+    taken = sorted(tuple(r) for r in bounded_sample(rows_made, "key", TRAINING_CANDIDATES).collect())
+    labels = np.array([real for _, _, real in taken], bool)
+    if len(set(labels.tolist())) < 2:
         return None
-    return boost(np.array(made), np.array(labels), np.array(held))
+    # whole texts are held out for the calibration
+    held = np.array([zlib.crc32(key.rsplit(":", 1)[0].encode()) % 4 == 0 for key, _, _ in taken])
+    return boost(np.array([row for _, row, _ in taken]), labels, held)
 
 
 def _covered(span: Span, base: list[Span]) -> bool:
