@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -231,3 +232,21 @@ def test_reports_shuffle_each_table_once(fanout, spark):
             assert text.count("Exchange hashpartitioning") == 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_orders_are_folded_without_hash_maps_of_joined_rows(fanout, spark):
+    """After the shuffles only items and scores fill hash maps; joined rows are folded sorted."""
+    orders, items, reviews = fanout
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        metrics = reports.order_metrics(orders, items, reviews)
+        for frame, tables in ((metrics, 2), (reports.top_customers(orders, items), 1)):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("HashAggregate(keys=[order_id") == 2 * tables  # partial and final
+            assert not re.search(r"HashAggregate\(keys=\[order_id[^\]]*,", plan)
+        # Items, the widest rows, come after the fold, which leaves rows sorted for that join.
+        plan = metrics._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("SortAggregate") < plan.index("price_units")
+        assert len(re.findall(r"[+:]- Sort \[", plan)) == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
